@@ -45,14 +45,16 @@ def texts(df: DataFrame, least_chars: int) -> tuple[DataFrame, DataFrame]:
     return t, e.join(t.select("text", "tid"), "text").select("entry_id", "split_name", "tid")
 
 
+def _word_pairs(n: Column, gap: int) -> Column:
+    pair = lambda i: F.xxhash64(F.get("w", i), F.get("w", i + gap), F.lit(gap))
+    return F.when(n > gap, F.transform(F.sequence(F.lit(0), n - 1 - gap), pair)).otherwise(F.array().cast("array<bigint>"))
+
+
 def vectors(t: DataFrame) -> DataFrame:
     """(tid, n_chars, train, held, few, term): the distinct terms of each text."""
     w = t.select("tid", F.length("text").alias("n_chars"), "train", "held", F.filter(F.split(coarse(F.col("text")), " "), lambda x: x != "").alias("w"))
     n = F.size("w")
-    pairs = F.concat(*[
-        F.when(n > gap, F.transform(F.sequence(F.lit(0), n - 1 - gap), lambda i, g=gap: F.xxhash64(F.get("w", i), F.get("w", i + g), F.lit(g)))).otherwise(F.array().cast("array<bigint>"))
-        for gap in (1, 2)
-    ])
+    pairs = F.concat(_word_pairs(n, 1), _word_pairs(n, 2))
     single = F.transform("w", lambda x: F.xxhash64(x))
     kinds = F.array(
         F.struct(F.lit(True).alias("few"), F.when(n <= FEW, F.array_distinct(single)).alias("terms")),
