@@ -73,10 +73,14 @@ def digit_swap(x: Column, seed: Column, p: Column) -> Column:
     return _per_char(x, lambda c, i: F.when(c.rlike("^[0-9]$") & (chance(seed, F.lit("g"), i) < p), digit(i)).otherwise(c))
 
 
+def _step(f, seed: Column):
+    return lambda s: f(s["x"], seed, s["p"])
+
+
 def corrupted(x: Column, seed: Column, intensity: str = "medium") -> Column:
     """All five in order, each at a rate drawn from its range."""
     for k, (f, (lo, hi)) in enumerate(zip((diacritic_swap, confuse, char_noise, case_noise, digit_swap), RATES[intensity])):
-        x = let(F.struct(x.alias("x"), (lo + (hi - lo) * chance(seed, F.lit("r"), F.lit(k))).alias("p")), lambda s, f=f: f(s["x"], seed, s["p"]))
+        x = let(F.struct(x.alias("x"), (lo + (hi - lo) * chance(seed, F.lit("r"), F.lit(k))).alias("p")), _step(f, seed))
     return x
 
 
