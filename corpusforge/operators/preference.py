@@ -8,6 +8,7 @@ from pyspark.sql.window import Window
 
 from corpusforge.functions import text as T
 from corpusforge.operators.evaluation import pairs
+from corpusforge.operators.ranking import rank_in_group
 from corpusforge.operators.records import PROMPT
 
 NED_RANGE, CER_LEAST = (0.05, 0.7), 0.10
@@ -63,17 +64,11 @@ def pair_record(chosen: Column, rejected: Column, image: Column, category: Colum
 
 
 def capped(df: DataFrame, category: str, limited: list[str], order: list[str], share: float = CAP_SHARE) -> DataFrame:
-    """Rows of ``limited`` categories cut to max(1, share of all rows), counted before capping.
-
-    A hot category is first cut in hash buckets to the cap, so no task sorts it whole.
-    """
+    """Rows of ``limited`` categories cut to max(1, share of all rows), counted before capping."""
     cap = F.broadcast(df.agg(F.greatest(F.lit(1), F.floor(F.count("*") * share)).alias("__cap")))
-    d = df.crossJoin(cap)  # one row
-    free = d.where(~F.coalesce(F.col(category).isin(limited), F.lit(False)))
-    cut = d.where(F.col(category).isin(limited)).withColumn("__b", F.pmod(F.xxhash64(*order), F.lit(64)))
-    cut = cut.withColumn("__r", F.row_number().over(Window.partitionBy(category, "__b").orderBy(*order))).where("__r <= __cap")
-    cut = cut.withColumn("__r", F.row_number().over(Window.partitionBy(category).orderBy(*order))).where("__r <= __cap").drop("__b", "__r")
-    return free.unionByName(cut).drop("__cap")
+    free = df.where(~F.coalesce(F.col(category).isin(limited), F.lit(False)))
+    ranked = rank_in_group(df.where(F.col(category).isin(limited)), category, order, "__rank")
+    return free.unionByName(ranked.crossJoin(cap).where("__rank <= __cap").drop("__rank", "__cap"))  # one row
 
 
 def oversampled(df: DataFrame, category: str, priority: list[str], key: str, seed: str = "42") -> DataFrame:

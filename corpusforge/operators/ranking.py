@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from corpusforge.runtime import cut, slots
+
 #: Hash prefixes that cut a global order into buckets: 16 ** 3.
 PREFIX = 3
 
@@ -24,6 +26,21 @@ def hash_ranked(df: DataFrame, key: Column, tie: Column, rank: str = "rank") ->
     return ranked.drop("__h", "__b", "__at").withColumnRenamed("__total", "n_total"), F.col("n_total")
 
 
+def rank_in_group(df: DataFrame, by: str, order: list[str], rank: str = "rank") -> DataFrame:
+    """``df`` with ``rank`` (from 1) in each group, a hot group included, without a task that holds a whole group.
+
+    Rows are range-partitioned by group and order, so a group lies in consecutive slices; a row's rank is the
+    size of its group's earlier slices plus its place in the slice. The slices are written once, as both need them.
+    """
+    n = slots(df.sparkSession)
+    sliced = cut(df.repartitionByRange(n, by, *order).withColumn("__p", F.spark_partition_id()))
+    sizes = sliced.groupBy(by, "__p").agg(F.count("*").alias("__n"))
+    before = sizes.select(F.col(by).alias("__by"), F.col("__p").alias("__q"), (F.sum("__n").over(Window.partitionBy(by).orderBy("__p")) - F.col("__n")).alias("__at"))
+    placed = sliced.withColumn("__r", F.row_number().over(Window.partitionBy(by, "__p").orderBy(*order)))
+    placed = placed.join(before, F.col(by).eqNullSafe(F.col("__by")) & (F.col("__p") == F.col("__q")))
+    return placed.withColumn(rank, F.col("__r") + F.col("__at")).drop("__p", "__q", "__by", "__at", "__r")
+
+
 def split_of(rank: Column, n: Column, train: float, evaluation: float) -> Column:
     """train | eval | test by rank: both products are floored on their own."""
     a = F.floor(n * train)

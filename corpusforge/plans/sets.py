@@ -141,12 +141,9 @@ def batch_assign(spark, d):
     return r.select("rec_id", K.batch_of(F.col("rank"), n).cast("bigint").alias("batch"))
 
 
-@query("W1", "select source, rec_id, row_number() over (partition by source, type order by rec_id)::bigint as ordinal, type from manifest where source is not null and type is not null")
+@query("W1", "select source, rec_id, row_number() over (partition by source order by rec_id)::bigint as ordinal from manifest")
 def ordinals(spark, d):
-    from pyspark.sql.window import Window
-
-    w = Window.partitionBy("source", "type").orderBy("rec_id")
-    return _m(spark, d).where("source is not null and type is not null").select("source", "rec_id", F.row_number().over(w).cast("bigint").alias("ordinal"), "type")
+    return K.rank_in_group(_m(spark, d).select("source", "rec_id"), "source", ["rec_id"], "ordinal").withColumn("ordinal", F.col("ordinal").cast("bigint"))
 
 
 def _mix_sql(w):
