@@ -113,9 +113,6 @@ def _hash_sql(*what):
     return f"(('0x' || substr(md5(concat_ws('|', rec_id::varchar, {', '.join(what)})), 1, 8))::bigint / 4294967296.0)"
 
 
-_CHARS = "from manifest"
-
-
 def _per_char_sql(change):
     return f"select rec_id, array_to_string(list_transform(regexp_extract_all(text, '(?s).'), lambda c, i: {change}), '') as text from manifest"
 

@@ -56,7 +56,7 @@ def corpus_mean_ned(spark, d):
     return _scored(spark, d, "ned").agg(F.round(F.coalesce(F.avg("ned"), F.lit(0.0)), 6).alias("mean_ned"))
 
 
-@query("A1", f"with {PAIRS} select source, count(*) as n, sum(({'pred'} = ref)::int)::bigint as same from p group by source")
+@query("A1", f"with {PAIRS} select source, count(*) as n, sum((pred = ref)::int)::bigint as same from p group by source")
 def exact_match_rate(spark, d):
     return _pairs(spark, d).groupBy("source").agg(F.count("*").alias("n"), F.count_if(F.col("pred") == F.col("ref")).alias("same"))
 
