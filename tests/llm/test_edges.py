@@ -56,7 +56,7 @@ def test_manifest(spark, rows):
     assert len(g) == len(rows)
     assert {r.rec_id: r.group_id for r in g} == ({1: 1, 2: 2, 3: 3, 4: 4, 6: 4, 7: 7, 8: 8, 9: 9} if rows else {})
     a = splits.assign_splits(splits.grouped(m, "rec_id", {"item": splits.scanned_item()}).select("group_id"), {"train": 0.8, "test": 0.2})
-    assert a.count() == (7 + 0 if rows else 0) or a.count() == len({r.group_id for r in g})
+    assert a.count() == len({r.group_id for r in g})
     targets = spark.createDataFrame([("a", 0.5, 2, "x"), ("b", 0.3, 3, "x"), ("none", 0.2, 9, "x")], "source string, target_share double, max_repeats int, n_chars string")
     copies, plan = mixing.mix(m, targets)
     r = {x.source: x for x in mixing.report(copies, plan).collect()}
@@ -91,7 +91,7 @@ def test_truncation(spark):
     ref = "nämä olivat talossa kun laiva tuli satamaan ja mies näki kalan"
     rows = [
         (1, ref, ref, ref), (2, ref[:40], ref, None), (3, ref[:40] + "\\u00", ref, ref[:40]), (4, ref[:-4], ref, ref), (5, ref[12:], ref, ref), (6, None, ref, ref), (7, "", ref, ref),
-        (8, ref.replace("mies", "rnies"), ref, ref), (9, ref[:40], None, ref), (10, "  ", ref, ref), (2, ref[:40], ref, None), (11, ref + ".", ref, ref), (12, ref[:30] * 1, ref, ref), (13, "kala", None, None),
+        (8, ref.replace("mies", "rnies"), ref, ref), (9, ref[:40], None, ref), (10, "  ", ref, ref), (2, ref[:40], ref, None), (11, ref + ".", ref, ref), (12, ref[:30], ref, ref), (13, "kala", None, None),
     ]
     df = spark.createDataFrame([(i, [("user", "x"), ("assistant", m)] if m else None, a, la, None, "x", "x", "x", "x", "x") for i, a, m, la in rows], schema)
     assert sorted(r.result_id for r in truncation.truncated(df).collect()) == [2, 2, 3, 9, 12]
