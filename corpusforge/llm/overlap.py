@@ -1,7 +1,7 @@
 """Same or near-same records across splits (problem 7).
 
 Assistant contents are reduced to distinct texts; a text is a vector of weighted terms (pairs of neighbouring
-and next-but-one words; single words where a text has few), weight ln(N / document frequency). Train and held-out
+and next-but-one words; any two words where a text has few), weight ln(N / document frequency). Train and held-out
 texts are joined by their cosine: each text's terms are ordered from rare to frequent, the frequent end whose norm
 stays below the residual bound is left out of the inverted lists, lists join only where lengths allow a match,
 and pairs are kept whose partial product, the residuals added, can reach the threshold. Their texts are then
@@ -20,11 +20,13 @@ from corpusforge.llm.folding import coarse
 from corpusforge.runtime import cut
 
 #: Cosine that a candidate pair needs, for texts of many and of few words.
-COSINE, COSINE_FEW = 0.2, 0.15
+COSINE, COSINE_FEW = 0.2, 0.05
 #: Norm of the frequent terms that may be left out of the inverted lists.
-RESIDUAL = 0.1
-#: Texts of up to FEW words are vectors of words, texts of more than MANY words of word pairs; between, both.
+RESIDUAL, RESIDUAL_FEW = 0.1, 0.03
+#: Texts of up to FEW words are vectors of any two of their words, texts of more than MANY of near ones; between, both.
 FEW, MANY = 10, 7
+#: Texts of up to SINGLE words have their words as terms as well.
+SINGLE = 3
 
 
 def content(df: DataFrame) -> Column:
@@ -55,9 +57,10 @@ def vectors(t: DataFrame) -> DataFrame:
     w = t.select("tid", F.length("text").alias("n_chars"), "train", "held", F.filter(F.split(coarse(F.col("text")), " "), lambda x: x != "").alias("w"))
     n = F.size("w")
     pairs = F.concat(_word_pairs(n, 1), _word_pairs(n, 2))
-    single = F.transform("w", lambda x: F.xxhash64(x))
+    any_two = F.flatten(F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.transform(F.slice("w", i + 2, n), lambda y: F.xxhash64(F.get("w", i), y))))
+    single = F.when(n <= SINGLE, F.transform("w", lambda x: F.xxhash64(x))).otherwise(F.array().cast("array<bigint>"))
     kinds = F.array(
-        F.struct(F.lit(True).alias("few"), F.when(n <= FEW, F.array_distinct(single)).alias("terms")),
+        F.struct(F.lit(True).alias("few"), F.when((n > 0) & (n <= FEW), F.array_distinct(F.concat(any_two, single))).alias("terms")),
         F.struct(F.lit(False).alias("few"), F.when(n > MANY, F.array_distinct(pairs)).alias("terms")),
     )
     v = w.select("tid", "n_chars", "train", "held", F.explode(kinds).alias("k")).select("tid", "n_chars", "train", "held", "k.few", F.explode("k.terms").alias("term"))
@@ -73,10 +76,11 @@ def similar_texts(t: DataFrame, length_ratio: float = 0.9) -> DataFrame:
     # one vector a row: terms of both sides from frequent to rare, with the running norm of the frequent end
     shared = F.when((F.col("n_train") > 0) & (F.col("n_held") > 0), F.struct("w", "term"))
     vec = weighed.groupBy("tid", "few", "n_chars", "train", "held").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"), F.sort_array(F.collect_list(shared)).alias("terms"))
+    left_out = F.when(F.col("few"), RESIDUAL_FEW).otherwise(RESIDUAL)
     step = F.aggregate(
         "terms",
         F.struct(F.lit(0.0).alias("mass"), F.lit(0).alias("out")),
-        lambda a, x: F.struct((a["mass"] + x["w"] * x["w"]).alias("mass"), F.when(a["mass"] + x["w"] * x["w"] <= F.pow(F.col("norm") * RESIDUAL, 2), a["out"] + 1).otherwise(a["out"]).alias("out")),
+        lambda a, x: F.struct((a["mass"] + x["w"] * x["w"]).alias("mass"), F.when(a["mass"] + x["w"] * x["w"] <= F.pow(F.col("norm") * left_out, 2), a["out"] + 1).otherwise(a["out"]).alias("out")),
         lambda a: a["out"],
     )
     vec = vec.where((F.size("terms") > 0) & (F.col("norm") > 0)).withColumn("skip", F.explode(F.array(step)))
@@ -86,7 +90,7 @@ def similar_texts(t: DataFrame, length_ratio: float = 0.9) -> DataFrame:
     b = kept.where("held").select("term", F.col("tid").alias("b"), F.col("n_chars").alias("nb"), F.col("w").alias("wb"), F.col("rest").alias("rb"))
     fits = (F.col("na") >= F.floor(F.col("nb") * length_ratio)) & (F.col("nb") >= F.floor(F.col("na") * length_ratio)) & (F.col("a") != F.col("b"))
     dots = a.join(b, "term").where(fits).groupBy("a", "b", "few").agg(F.sum(F.col("wa") * F.col("wb")).alias("dot"), F.max(F.col("ra") | F.col("rb")).alias("rest"))
-    need = F.when(F.col("few"), COSINE_FEW).otherwise(COSINE) - F.when(F.col("rest"), RESIDUAL).otherwise(0.0)
+    need = F.when(F.col("few"), COSINE_FEW).otherwise(COSINE) - F.when(F.col("rest"), F.when(F.col("few"), RESIDUAL_FEW).otherwise(RESIDUAL)).otherwise(0.0)
     return dots.where(F.col("dot") >= need).select("a", "b").distinct()
 
 
