@@ -21,6 +21,8 @@ from corpusforge.runtime import cut
 
 #: Cosine that a candidate pair needs, for texts of many and of few words.
 COSINE, COSINE_FEW = 0.2, 0.05
+#: Share of the terms of the text with fewer that a pair must have in common.
+SHARED, SHARED_FEW = 0.05, 0.05
 #: Norm of the frequent terms that may be left out of the inverted lists.
 RESIDUAL, RESIDUAL_FEW = 0.1, 0.03
 #: Texts of up to FEW words are vectors of any two of their words, texts of more than MANY of near ones; between, both.
@@ -73,9 +75,10 @@ def similar_texts(t: DataFrame, length_ratio: float = 0.9) -> DataFrame:
     n = t.count()
     df = v.groupBy("term").agg(F.count_if("train").alias("n_train"), F.count_if("held").alias("n_held"), F.count("*").alias("n"))
     weighed = v.join(df, "term").withColumn("w", F.log((F.lit(n) + 1) / F.col("n")))
-    # one vector a row: terms of both sides from frequent to rare, with the running norm of the frequent end
+    # one vector a row: terms of both sides from frequent to rare, with the running norm of the frequent end; terms of
+    # one side only (misreadings, mostly) are outside the space, or their high weights would part near texts
     shared = F.when((F.col("n_train") > 0) & (F.col("n_held") > 0), F.struct("w", "term"))
-    vec = weighed.groupBy("tid", "few", "n_chars", "train", "held").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"), F.sort_array(F.collect_list(shared)).alias("terms"))
+    vec = weighed.groupBy("tid", "few", "n_chars", "train", "held").agg(F.sqrt(F.sum(F.when(shared.isNotNull(), F.col("w") * F.col("w")))).alias("norm"), F.count("*").alias("n_terms"), F.sort_array(F.collect_list(shared)).alias("terms"))
     left_out = F.when(F.col("few"), RESIDUAL_FEW).otherwise(RESIDUAL)
     step = F.aggregate(
         "terms",
@@ -84,14 +87,15 @@ def similar_texts(t: DataFrame, length_ratio: float = 0.9) -> DataFrame:
         lambda a: a["out"],
     )
     vec = vec.where((F.size("terms") > 0) & (F.col("norm") > 0)).withColumn("skip", F.explode(F.array(step)))
-    kept = vec.select("tid", "few", "n_chars", "train", "held", "norm", (F.col("skip") > 0).alias("rest"), F.explode(F.slice("terms", F.col("skip") + 1, F.size("terms"))).alias("x"))
-    kept = cut(kept.select("tid", "few", "n_chars", "train", "held", "rest", F.col("x.term").alias("term"), (F.col("x.w") / F.col("norm")).cast("float").alias("w")))
-    a = kept.where("train").select("term", F.col("tid").alias("a"), F.col("n_chars").alias("na"), F.col("w").alias("wa"), F.col("rest").alias("ra"), "few")
-    b = kept.where("held").select("term", F.col("tid").alias("b"), F.col("n_chars").alias("nb"), F.col("w").alias("wb"), F.col("rest").alias("rb"))
+    kept = vec.select("tid", "few", "n_chars", "train", "held", "norm", (F.col("n_terms") - F.col("skip")).alias("m"), (F.col("skip") > 0).alias("rest"), F.explode(F.slice("terms", F.col("skip") + 1, F.size("terms"))).alias("x"))
+    kept = cut(kept.select("tid", "few", "n_chars", "train", "held", "m", "rest", F.col("x.term").alias("term"), (F.col("x.w") / F.col("norm")).cast("float").alias("w")))
+    a = kept.where("train").select("term", F.col("tid").alias("a"), F.col("n_chars").alias("na"), F.col("w").alias("wa"), F.col("m").alias("ma"), F.col("rest").alias("ra"), "few")
+    b = kept.where("held").select("term", F.col("tid").alias("b"), F.col("n_chars").alias("nb"), F.col("w").alias("wb"), F.col("m").alias("mb"), F.col("rest").alias("rb"))
     fits = (F.col("na") >= F.floor(F.col("nb") * length_ratio)) & (F.col("nb") >= F.floor(F.col("na") * length_ratio)) & (F.col("a") != F.col("b"))
-    dots = a.join(b, "term").where(fits).groupBy("a", "b", "few").agg(F.sum(F.col("wa") * F.col("wb")).alias("dot"), F.max(F.col("ra") | F.col("rb")).alias("rest"))
+    dots = a.join(b, "term").where(fits).groupBy("a", "b", "few").agg(F.sum(F.col("wa") * F.col("wb")).alias("dot"), F.count("*").alias("common"), F.first(F.least("ma", "mb")).alias("m"), F.max(F.col("ra") | F.col("rb")).alias("rest"))
     need = F.when(F.col("few"), COSINE_FEW).otherwise(COSINE) - F.when(F.col("rest"), F.when(F.col("few"), RESIDUAL_FEW).otherwise(RESIDUAL)).otherwise(0.0)
-    return dots.where(F.col("dot") >= need).select("a", "b").distinct()
+    enough = F.col("common") >= F.col("m") * F.when(F.col("few"), SHARED_FEW).otherwise(SHARED)
+    return dots.where((F.col("dot") >= need) & enough).select("a", "b").distinct()
 
 
 def near_texts(t: DataFrame, share: float = 0.1) -> DataFrame:
