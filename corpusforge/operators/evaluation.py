@@ -26,12 +26,12 @@ def pairs(df: DataFrame, default_source: str = "unknown") -> DataFrame:
 def scored(df: DataFrame, metrics: tuple[str, ...] = ("ned", "cer", "wer")) -> DataFrame:
     """Pairs with their scores, each computed once; ``exact`` compares the stripped texts."""
     p, r = F.col("pred"), F.col("ref")
-    d = df.select("*", F.explode(F.array(F.levenshtein(p, r))).alias("__d"))  # the quadratic part, once a row
+    d = df.select("*", F.explode(F.array(F.when(p == r, 0).otherwise(F.levenshtein(p, r)))).alias("__d"))  # the quadratic part, once a row
     longest = F.nullif(F.greatest(F.length(p), F.length(r)), F.lit(0))
     rate = F.when(F.length(r) == 0, F.when(F.length(p) == 0, 0.0).otherwise(1.0)).otherwise(F.col("__d") / F.length(r))
     made = {"ned": F.coalesce(F.col("__d") / longest, F.lit(0.0)), "cer": rate}
     d = d.withColumns({m: made[m] for m in metrics if m in made} | {"exact": (T.strip(p) == T.strip(r)).cast("int")}).drop("__d")
-    return d.select("*", F.explode(F.array(T.wer(p, r))).alias("wer")) if "wer" in metrics else d
+    return d.select("*", F.explode(F.array(F.when((p == r) & (r != ""), 0.0).otherwise(T.wer(p, r)))).alias("wer")) if "wer" in metrics else d
 
 
 def summary(s: DataFrame, metric: str, by: list[str] | None = None) -> DataFrame:

@@ -7,7 +7,7 @@ from corpusforge.functions import text as T
 from corpusforge.operators import corruption as C
 from corpusforge.operators import records as R
 from corpusforge.plans.sqltext import some, strip, words
-from corpusforge.runtime import table
+from corpusforge.runtime import spread, table
 
 
 def _m(spark, d):
@@ -119,32 +119,32 @@ def _per_char_sql(change):
 
 @query("F12", _per_char_sql(f"case when {_hash_sql(chr(39) + 'c' + chr(39), '(i - 1)::varchar')} < 0.03 then (case when c = upper(c) then lower(c) else upper(c) end) else c end"))
 def case_noise(spark, d):
-    return _m(spark, d).select("rec_id", C.case_noise(F.col("text"), F.col("rec_id").cast("string"), F.lit(0.03)).alias("text"))
+    return spread(_m(spark, d)).select("rec_id", C.case_noise(F.col("text"), F.col("rec_id").cast("string"), F.lit(0.03)).alias("text"))
 
 
 @query("F13", _per_char_sql(f"case when regexp_matches(c, '^[0-9]$') and {_hash_sql(chr(39) + 'g' + chr(39), '(i - 1)::varchar')} < 0.05 then floor({_hash_sql(chr(39) + 'w' + chr(39), '(i - 1)::varchar')} * 10)::int::varchar else c end"))
 def digit_swap(spark, d):
-    return _m(spark, d).select("rec_id", C.digit_swap(F.col("text"), F.col("rec_id").cast("string"), F.lit(0.05)).alias("text"))
+    return spread(_m(spark, d)).select("rec_id", C.digit_swap(F.col("text"), F.col("rec_id").cast("string"), F.lit(0.05)).alias("text"))
 
 
 @query("F9", _per_char_sql(f"case when {_hash_sql(chr(39) + 'd' + chr(39), '(i - 1)::varchar')} < 0.6 then translate(c, 'åäöéüšžÅÄÖÉÜŠŽ', 'aaoeuszAAOEUSZ') else c end"))
 def diacritic_swap(spark, d):
-    return _m(spark, d).select("rec_id", C.diacritic_swap(F.col("text"), F.col("rec_id").cast("string"), F.lit(0.6)).alias("text"))
+    return spread(_m(spark, d)).select("rec_id", C.diacritic_swap(F.col("text"), F.col("rec_id").cast("string"), F.lit(0.6)).alias("text"))
 
 
 @query("F11")
 def char_noise(spark, d):
-    return _m(spark, d).select("rec_id", C.char_noise(F.col("text"), F.col("rec_id").cast("string"), F.lit(0.03)).alias("text"))
+    return spread(_m(spark, d)).select("rec_id", C.char_noise(F.col("text"), F.col("rec_id").cast("string"), F.lit(0.03)).alias("text"))
 
 
 @query("F10")
 def ocr_confuse(spark, d):
-    return _m(spark, d).select("rec_id", C.confuse(F.col("text"), F.col("rec_id").cast("string"), F.lit(0.15)).alias("text"))
+    return spread(_m(spark, d)).select("rec_id", C.confuse(F.col("text"), F.col("rec_id").cast("string"), F.lit(0.15)).alias("text"))
 
 
 @query("F14 F15")
 def synthetic_rejected(spark, d):
-    m = _m(spark, d).where(~T.is_blank(F.col("text"))).select("rec_id", "text")
+    m = spread(_m(spark, d)).where(~T.is_blank(F.col("text"))).select("rec_id", "text")
     return C.variants(m, "text", "rec_id", 2).select("rec_id", "variant", "rejected")
 
 

@@ -6,11 +6,11 @@ from corpusforge.catalog import query
 from corpusforge.functions import text as T
 from corpusforge.operators import evaluation as E
 from corpusforge.plans.sqltext import PAIRS, SCORED
-from corpusforge.runtime import table
+from corpusforge.runtime import spread, table
 
 
 def _pairs(spark, d):
-    return E.pairs(table(spark, d, "eval_results"))
+    return E.pairs(spread(table(spark, d, "eval_results")))
 
 
 def _scored(spark, d, *metrics):

@@ -9,7 +9,7 @@ from corpusforge.operators import layout as L
 from corpusforge.operators import preference as P
 from corpusforge.operators import raster as G
 from corpusforge.plans.sqltext import SCORED, strip
-from corpusforge.runtime import shared_dir, table
+from corpusforge.runtime import shared_dir, spread, table
 from corpusforge.streaming import ingest
 
 KEEP = f"""{SCORED}, t as (select *, {strip('ref')} as chosen, {strip('pred')} as rejected, regexp_replace(image, '^.*/', '') as image_name from s),
@@ -23,7 +23,7 @@ KEEP = f"""{SCORED}, t as (select *, {strip('ref')} as chosen, {strip('pred')} a
 
 
 def _staged(spark, d):
-    return P.first_wins(P.staged(table(spark, d, "eval_results")), ["result_id"])
+    return P.first_wins(P.staged(spread(table(spark, d, "eval_results"))), ["result_id"])
 
 
 @query("L13 P13 P14 R3", f"with {KEEP} select result_id, stage from g")

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -45,9 +44,7 @@ def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
 
 
-def package_zip(spark: SparkSession) -> None:
-    """Let Python workers import this package when it is not installed on them."""
-    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
-    path = spark.sparkContext.environment.get("PYTHONPATH", "")
-    if root not in path.split(os.pathsep):
-        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(x for x in (root, path) if x)
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` on as many partitions as there are cores, where its scan has fewer (one small file); for row-wise work that is costly."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df._jdf.queryExecution().toRdd().getNumPartitions() < cores else df
