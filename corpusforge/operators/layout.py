@@ -44,31 +44,39 @@ def reading_text(placed: Column) -> Column:
     return F.array_join(F.flatten(F.transform(placed, lambda b: b["lines"])), "\n")
 
 
-def windows(placed: Column) -> Column:
-    """All runs of neighbouring blocks of a column, column by column, short runs first: (col, win, start, text, box).
-
-    Blocks of fewer than LEAST_CHARS characters take no part.
-    """
+def columns(placed: Column) -> Column:
+    """(col, own): the columns in order and the blocks of each that take part in windows, those of at least LEAST_CHARS characters."""
     joined = lambda b: F.array_join(b["lines"], "\n")
     cols = F.array_sort(F.array_distinct(F.transform(placed, lambda b: b["col"])))
+    return F.transform(cols, lambda c: F.struct(c.alias("col"), F.filter(placed, lambda b: (b["col"] == c) & (F.length(T.strip(joined(b))) >= LEAST_CHARS)).alias("own")))
 
-    def of_column(c):
-        return T.let(F.filter(placed, lambda b: (b["col"] == c) & (F.length(T.strip(joined(b))) >= LEAST_CHARS)), lambda own: of_blocks(c, own))
 
-    def of_blocks(c, own):
-        n = F.size(own)
-        places = F.when(n > 0, F.flatten(F.transform(F.sequence(F.lit(1), n), lambda k: F.transform(F.sequence(F.lit(1), n - k + 1), lambda s: F.struct(k.alias("k"), s.alias("s"))))))
-        return F.coalesce(F.transform(places, lambda q: T.let(F.slice(own, q["s"], q["k"]), lambda part: window(c, q, part))), F.array())
+def runs(n: Column) -> Column:
+    """(k, s): all runs of k neighbours from place s on among n blocks, short runs first."""
+    of_length = lambda k: F.transform(F.sequence(F.lit(1), n - k + 1), lambda s: F.struct(k.alias("k"), s.alias("s")))
+    return F.when(n > 0, F.flatten(F.transform(F.sequence(F.lit(1), n), of_length)))
+
+
+def window(c: Column, q: Column, part: Column) -> Column:
+    """(col, win, start, text, box) of the blocks ``part`` of the run ``q`` in column ``c``."""
+    box = lambda f: F.transform(part, f)
+    return F.struct(
+        c.alias("col"), q["k"].alias("win"), (q["s"] - 1).alias("start"), F.array_join(F.flatten(F.transform(part, lambda b: b["lines"])), "\n").alias("text"),
+        F.array_min(box(lambda b: b["bbox"]["hpos"])).alias("x0"), F.array_min(box(lambda b: b["bbox"]["vpos"])).alias("y0"),
+        F.array_max(box(lambda b: b["bbox"]["hpos"] + b["bbox"]["w"])).alias("x1"), F.array_max(box(lambda b: b["bbox"]["vpos"] + b["bbox"]["h"])).alias("y1"),
+    )
 
-    def window(c, q, part):
-        box = lambda f: F.transform(part, f)
-        return F.struct(
-            c.alias("col"), q["k"].alias("win"), (q["s"] - 1).alias("start"), F.array_join(F.flatten(F.transform(part, lambda b: b["lines"])), "\n").alias("text"),
-            F.array_min(box(lambda b: b["bbox"]["hpos"])).alias("x0"), F.array_min(box(lambda b: b["bbox"]["vpos"])).alias("y0"),
-            F.array_max(box(lambda b: b["bbox"]["hpos"] + b["bbox"]["w"])).alias("x1"), F.array_max(box(lambda b: b["bbox"]["vpos"] + b["bbox"]["h"])).alias("y1"),
-        )
 
-    return F.flatten(F.transform(cols, of_column))
+def windows(pages: DataFrame) -> DataFrame:
+    """(page_id, col, win, start, text, box): all runs of neighbouring blocks of a column of placed pages.
+
+    Their number is quadratic in the blocks of a column, so each is a row before its text is built and a page of
+    any length never holds the texts of all its windows at once.
+    """
+    p = pages.select("page_id", F.explode(columns(F.col("placed"))).alias("c")).select("page_id", "c.*")
+    p = p.select("page_id", "col", "own", F.explode(runs(F.size("own"))).alias("q"))
+    p = once(p.select("page_id", "col", "q", F.slice("own", F.col("q.s"), F.col("q.k")).alias("part")), "w", window(F.col("col"), F.col("q"), F.col("part")))
+    return p.select("page_id", "w.*")
 
 
 def paragraphs(pages: DataFrame, scale_x: float = 1.0, scale_y: float = 1.0) -> DataFrame:
@@ -76,23 +84,29 @@ def paragraphs(pages: DataFrame, scale_x: float = 1.0, scale_y: float = 1.0) ->
 
     A fold over the ordered windows keeps the texts seen on the page and the count of the current column: a text
     occurs once a page, a column gives PER_COLUMN paragraphs at most, and a text only beyond a column's cap may
-    still come from a later column. A text whose box is empty is seen but gives no paragraph.
+    still come from a later column. A text whose box is empty is seen but gives no paragraph. The fold walks the
+    places of the windows and builds a window only where its column is not at its cap yet.
     """
-    p = once(pages, "__w", windows(F.col("placed")))
+    p = once(pages, "__c", columns(F.col("placed")))
+    p = once(p, "__q", F.flatten(F.transform("__c", lambda c, i: F.coalesce(F.transform(runs(F.size(c["own"])), lambda q: F.struct(i.alias("c"), q["k"].alias("k"), q["s"].alias("s"))), F.array()))))
     kind = "array<struct<col:int,win:int,start:int,text:string,x0:int,y0:int,x1:int,y1:int>>"
-    p = p.withColumn("__w", F.col("__w").cast(kind))
     zero = F.struct(F.array().cast("array<string>").alias("seen"), F.lit(-1).alias("col"), F.lit(0).alias("k"), F.array().cast(kind).alias("out"))
 
-    def step(a, x):
-        k = F.when(a["col"] == x["col"], a["k"]).otherwise(0)
-        tried = (k < PER_COLUMN) & (F.length(T.strip(x["text"])) >= LEAST_CHARS) & ~F.array_contains(a["seen"], x["text"])
+    def step(a, q):
+        c = F.get("__c", q["c"])
+        k = F.when(a["col"] == c["col"], a["k"]).otherwise(0)
+        full = F.struct(a["seen"].alias("seen"), c["col"].alias("col"), k.alias("k"), a["out"].alias("out"))
+        return F.when(k >= PER_COLUMN, full).otherwise(T.let(window(c["col"], q, F.slice(c["own"], q["s"], q["k"])), lambda x: taken(a, k, x)))
+
+    def taken(a, k, x):
+        tried = (F.length(T.strip(x["text"])) >= LEAST_CHARS) & ~F.array_contains(a["seen"], x["text"])
         area = (F.least((x["x1"] * scale_x).cast("int"), F.col("page_w")) > F.greatest(F.lit(0), (x["x0"] * scale_x).cast("int"))) & (F.least((x["y1"] * scale_y).cast("int"), F.col("page_h")) > F.greatest(F.lit(0), (x["y0"] * scale_y).cast("int")))
         return F.struct(
             F.when(tried, F.concat(a["seen"], F.array(x["text"]))).otherwise(a["seen"]).alias("seen"), x["col"].alias("col"),
             F.when(tried & area, k + 1).otherwise(k).alias("k"), F.when(tried & area, F.concat(a["out"], F.array(x))).otherwise(a["out"]).alias("out"),
         )
 
-    out = once(p, "__p", F.aggregate("__w", zero, step, lambda a: a["out"])).select("page_id", "page_w", "page_h", F.posexplode("__p").alias("para", "x"))
+    out = once(p, "__p", F.aggregate("__q", zero, step, lambda a: a["out"])).select("page_id", "page_w", "page_h", F.posexplode("__p").alias("para", "x"))
     return out.select(
         "page_id", (F.col("para") + 1).alias("para"), "x.col", "x.text",
         F.greatest(F.lit(0), (F.col("x.x0") * scale_x).cast("int")).alias("left"), F.greatest(F.lit(0), (F.col("x.y0") * scale_y).cast("int")).alias("upper"),

@@ -77,7 +77,7 @@ def pref_category_distribution(spark, d):
 
 def _pages(spark, d):
     """Pages laid out from documents: each paragraph a block, its place from its number and length."""
-    docs = table(spark, d, "documents").where(F.length("text") > 0).select("doc_id", F.filter(F.split("text", "\n\n"), lambda b: F.length(b) > 0).alias("p")).where(F.size("p") <= 40)
+    docs = table(spark, d, "documents").where(F.length("text") > 0).select("doc_id", F.filter(F.split("text", "\n\n"), lambda b: F.length(b) > 0).alias("p"))
     block = lambda b, i: F.struct(
         F.struct((50 + (i % 3) * 300).cast("int").alias("hpos"), (100 + i * 40).cast("int").alias("vpos"), F.when(i % 7 == 0, 900).otherwise(280).cast("int").alias("w"), (60 + F.length(b) % 200).cast("int").alias("h")).alias("bbox"),
         F.split(b, "\n").alias("lines"),
@@ -98,8 +98,7 @@ def reading_order_text(spark, d):
 
 @query("W4 L3 X5")
 def sliding_windows(spark, d):
-    p = L.with_columns_found(_pages(spark, d)).select("page_id", F.explode(L.windows(F.col("placed"))).alias("w"))
-    return p.select("page_id", "w.col", "w.win", "w.start", F.length("w.text").alias("chars"))
+    return L.windows(L.with_columns_found(_pages(spark, d))).select("page_id", "col", "win", "start", F.length("text").alias("chars"))
 
 
 @query("L3 R4 P16 P17 A15 W7")
@@ -111,7 +110,7 @@ def paragraph_dedup_cap(spark, d):
     c as (select doc_id, unnest(list_transform(p, lambda x, i: {'i': i - 1, 'n': length(x)})) as q from b where len(p) <= 40)
     select doc_id as page_id, min(50 + (q.i % 3) * 300)::bigint as x0, min(100 + q.i * 40)::bigint as y0, max(50 + (q.i % 3) * 300 + case when q.i % 7 = 0 then 900 else 280 end)::bigint as x1, max(100 + q.i * 40 + 60 + q.n % 200)::bigint as y1 from c group by doc_id""")
 def bbox_union(spark, d):
-    b = _pages(spark, d).select("page_id", F.transform("blocks", lambda x: x["bbox"]).alias("b"))
+    b = _pages(spark, d).where(F.size("blocks") <= 40).select("page_id", F.transform("blocks", lambda x: x["bbox"]).alias("b"))  # as its SQL has it
     low = lambda k: F.array_min(F.transform("b", lambda x: x[k])).cast("bigint")
     high = lambda k, s: F.array_max(F.transform("b", lambda x: x[k] + x[s])).cast("bigint")
     return b.select("page_id", low("hpos").alias("x0"), low("vpos").alias("y0"), high("hpos", "w").alias("x1"), high("vpos", "h").alias("y1"))
