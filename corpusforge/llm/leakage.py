@@ -5,7 +5,7 @@ gone, so a word broken at a line end is whole again. The n-grams of the held-out
 goes to every task; each document's windows are looked up in it. Hits on one diagonal (document position less
 item position) are verified letter by letter along that diagonal, with drift for lost or added characters: a
 word counts when half of its letters lie in runs that agree, or its edit distance is small. An item leaked if
-enough of its words in a row count.
+enough of its words in a row count; every such run is a span to cut, as a document may hold several of one item.
 
 The hash set is built for blocks of ``ITEM_BLOCK`` items, each a scan of its own, so its size is bounded.
 Defined results: null or empty texts hold and leak nothing; repeated rows are reported once; ties don't arise.
@@ -128,8 +128,8 @@ def edit_distance(a: np.ndarray, b: np.ndarray) -> int:
     return row[-1]
 
 
-def agreement(item: np.ndarray, words: list[tuple[int, int]], doc: np.ndarray, diagonals: list[int], least_words: int) -> tuple[int, int, int]:
-    """(words, first, last): the longest run of item words found, and the document letters it spans."""
+def agreement(item: np.ndarray, words: list[tuple[int, int]], doc: np.ndarray, diagonals: list[int], least_words: int) -> list[tuple[int, int, int]]:
+    """(words, first, last) of each run of at least ``least_words`` item words found, and the document letters it spans."""
     n = len(item)
     shift = np.full(n, np.iinfo(np.int32).min, np.int64)  # document place less item place of each covered letter
     strength = np.zeros(n, np.int32)
@@ -155,7 +155,7 @@ def agreement(item: np.ndarray, words: list[tuple[int, int]], doc: np.ndarray, d
         shift[better] = best[better] + lo
     covered = strength > 0
     if not words:
-        return 0, 0, 0
+        return []
     sums = np.concatenate([[0], np.cumsum(covered)])
     bounds = np.array(words)
     length = bounds[:, 1] - bounds[:, 0]
@@ -165,7 +165,7 @@ def agreement(item: np.ndarray, words: list[tuple[int, int]], doc: np.ndarray, d
     hope[1:] |= (length[1:] == 0) & hope[:-1]
     edges = np.flatnonzero(np.diff(np.concatenate([[0], hope.astype(np.int8), [0]])))
     if (edges[1::2] - edges[::2]).max(initial=0) < least_words:
-        return 0, 0, 0
+        return []
     good, number = sure.tolist(), (length == 0).tolist()
     for w, (a, b) in enumerate(words):  # a word between two found ones may be misread more heavily, or be a number
         if good[w] or not 0 < w < len(words) - 1 or not (good[w - 1] and (good[w + 1] or number[w + 1])):
@@ -179,21 +179,29 @@ def agreement(item: np.ndarray, words: list[tuple[int, int]], doc: np.ndarray, d
             part = doc[max(0, x + shift[x] + 1) : max(0, y + shift[y])]
             whole = item[x + 1 : y]
             good[w] = abs(len(part) - len(whole)) <= len(whole) // 2 and edit_distance(whole, part) * 2 <= len(whole)
-    best, start = (0, 0, 0), None
+    runs, start = [], None
     for w in range(len(words) + 1):
         if w < len(words) and good[w]:
             start = w if start is None else start
         elif start is not None:
-            if w - start > best[0]:
-                at = [i for i in range(words[start][0], words[w - 1][1]) if covered[i]]
-                if at:
-                    best = (w - start, int(at[0] + shift[at[0]]), int(at[-1] + shift[at[-1]]))
+            if w - start >= least_words:
+                at = np.flatnonzero(covered[words[start][0] : words[w - 1][1]]) + words[start][0]
+                if len(at):
+                    place = at + shift[at]
+                    first, last = int(place[0]), int(place[-1])
+                    runs.append((w - start, first, last) if first <= last else (w - start, int(place.min()), int(place.max())))
             start = None
-    return best
+    return runs
+
+
+def strands(diagonals: list[int]) -> list[list[int]]:
+    """Ascending ``diagonals`` apart where one alignment can't drift to the next: copies of one passage near each other."""
+    cuts = [k for k in range(1, len(diagonals)) if diagonals[k] - diagonals[k - 1] > DRIFT]
+    return [diagonals[a:b] for a, b in zip([0, *cuts], [*cuts, len(diagonals)])]
 
 
 def leaks_in(texts: list[str], items: Items, letters: Letters, least_words: int) -> Iterator[tuple[int, int, int, int, int]]:
-    """(text number, item number, words, start, end) for each leak in a batch of texts."""
+    """(text number, item number, words, start, end) for each run of an item in a batch of texts."""
     streams = [letters.stream(t) for t in texts]
     if not streams:
         return
@@ -224,20 +232,28 @@ def leaks_in(texts: list[str], items: Items, letters: Letters, least_words: int)
             if last is None or x - last > DRIFT // 2:
                 diag.append(x)
                 last = x
-        best, a, b = agreement(items.codes[i], items.words[i], streams[d][0], diag, least_words)
-        if best >= least_words:
-            at = streams[d][1]
-            yield int(d), int(i), best, int(at[min(max(a, 0), len(at) - 1)]), int(at[min(max(b, 0), len(at) - 1)]) + 1
+        runs = agreement(items.codes[i], items.words[i], streams[d][0], diag, least_words)
+        parts = strands(diag)
+        if runs and len(parts) > 1:  # a letter of the item has one place in an alignment; its other places are found one strand at a time
+            runs = sorted({*runs, *(x for p in parts for x in agreement(items.codes[i], items.words[i], streams[d][0], p, least_words))})
+        at = streams[d][1]
+        for n, a, b in runs:
+            yield int(d), int(i), n, int(at[min(max(a, 0), len(at) - 1)]), int(at[min(max(b, 0), len(at) - 1)]) + 1
 
 
-def leaks(docs: DataFrame, items: DataFrame, least_words: int = 12) -> DataFrame:
-    """(doc_id, item_id, words, start, end): documents that hold ``least_words`` consecutive words of an item."""
+def passages(docs: DataFrame, items: DataFrame, least_words: int = 12) -> DataFrame:
+    """(doc_id, item_id, words, start, end): every run of at least ``least_words`` consecutive words of an item in a document."""
     rows = sorted({(r[0], r[1]) for r in items.where(F.length("text") > 0).select("item_id", "text").toLocalIterator()})
     out = None
     for k in range(0, max(1, len(rows)), ITEM_BLOCK):
         part = docs.where(F.length("text") >= GRAM).select("doc_id", "text").mapInPandas(_scan(rows[k : k + ITEM_BLOCK], least_words), "doc_id bigint, item_id bigint, words int, start int, end int")
         out = part if out is None else out.unionByName(part)
-    return out.groupBy("doc_id", "item_id").agg(F.max("words").alias("words"), F.max_by("start", "words").alias("start"), F.max_by("end", "words").alias("end"))
+    return out
+
+
+def leaks(docs: DataFrame, items: DataFrame, least_words: int = 12) -> DataFrame:
+    """(doc_id, item_id, words, start, end): documents that hold ``least_words`` consecutive words of an item, with the longest run."""
+    return passages(docs, items, least_words).groupBy("doc_id", "item_id").agg(F.max("words").alias("words"), F.max_by("start", "words").alias("start"), F.max_by("end", "words").alias("end"))
 
 
 def _scan(rows: list[tuple[int, str]], least_words: int):

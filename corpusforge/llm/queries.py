@@ -111,7 +111,7 @@ def p9_found(spark, d):
 
 def p9_clean(spark, d):
     docs = table(spark, d, "documents")
-    return leakage.without_spans(docs, cut(leakage.leaks(docs, table(spark, d, "heldout_items"))))
+    return leakage.without_spans(docs, cut(leakage.passages(docs, table(spark, d, "heldout_items"))))
 
 
 def p10_found(spark, d):
