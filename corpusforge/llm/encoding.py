@@ -5,7 +5,9 @@ Words that hold characters foreign to the corpus languages are joined with clean
 without non-ASCII characters. Aligning such twins character by character gives evidence for transformations
 (written in one encoding, read in another); words without ASCII letters (Cyrillic) are aligned by position
 with the words each transformation would make of them. Transformations with enough evidence are learned and
-then applied to every suspicious word of every record.
+then applied to every suspicious word of every record. Words are weighed by the distinct texts that hold them, so
+copies of a record have no vote. Cyrillic words garbled into Cyrillic letters are also taken where other words of
+their own text support the transformation.
 
 Defined results: null and empty texts are never garbled; words whose characters were lost (U+FFFD, a question
 mark before a letter) are reported, and restored where a single clean word fits best; repeated rows are
@@ -119,8 +121,10 @@ def _skeletons(s: pd.Series) -> pd.Series:
 
 
 def vocabulary(records: DataFrame, text: str = "text") -> DataFrame:
-    """(token, n, odd): distinct words with characters beyond ASCII or lost ones; ``odd`` words hold characters foreign to the corpus."""
-    w = records.select(F.explode(words(F.col(text), rf"[^\x00-\x7F]|{_LOST}")).alias("token"))
+    """(token, n, odd): distinct words with characters beyond ASCII or lost ones, and the distinct texts that hold each; ``odd`` words hold characters foreign to the corpus."""
+    some = rf"[^\x00-\x7F]|{_LOST}"
+    texts = records.where(F.col(text).rlike(some)).select(F.col(text).alias("t")).distinct()
+    w = texts.select(F.explode(F.array_distinct(words(F.col("t"), some))).alias("token"))
     return w.groupBy("token").agg(F.count("*").alias("n")).withColumn("odd", F.col("token").rlike(_OUTSIDE))
 
 
@@ -156,8 +160,8 @@ def _fits(token: pd.Series, form: pd.Series) -> pd.Series:
     return pd.Series([_fits_case(a, b) for a, b in zip(token, form)], dtype=bool)
 
 
-def garbled_words(records: DataFrame, text: str = "text") -> DataFrame:
-    """(token, form): the distinct garbled words of all records and their restored form, null where it can't be known."""
+def garbled_words(records: DataFrame, text: str = "text") -> tuple[DataFrame, DataFrame | None]:
+    """(token, form) of the distinct words that are garbled wherever they stand, the form null where it can't be known; and (token, k, form, strong) of Cyrillic words that are garbled in a text where others support transformation k."""
     vocab = cut(vocabulary(records, text))
     pairs, twins = learned(vocab)
     odd = vocab.where("odd")
@@ -165,10 +169,10 @@ def garbled_words(records: DataFrame, text: str = "text") -> DataFrame:
     lost_form = twins.where(lost & (F.length("token") == F.length("clean"))).groupBy("token").agg(F.max_by("clean", F.struct("clean_n", "clean")).alias("form"))
     gone = odd.where(lost).select("token").join(lost_form, "token", "left")
     if not pairs:
-        return gone
+        return gone, None
     known = vocab.where("not odd or token rlike '^[А-Яа-яЁё]+$'").groupBy(F.lower("token").alias("low")).agg(F.sum("n").alias("form_n"))
     made = odd.where(~lost).select("token", "n").mapInPandas(_forms(pairs), "token string, n bigint, k int, form string")
-    made = made.withColumn("low", F.lower("form")).join(known, "low", "left").fillna(0, ["form_n"])
+    made = cut(made.withColumn("low", F.lower("form")).join(known, "low", "left").fillna(0, ["form_n"]))
     from_utf8 = F.col("k").isin([k for k in pairs if TRANSFORMS[k][0] == "utf-8"])
     cyrillic_only = F.col("token").rlike("^[А-Яа-яЁё]+$")
     alike = F.col("token").rlike(_OTHERWISE)
@@ -179,14 +183,26 @@ def garbled_words(records: DataFrame, text: str = "text") -> DataFrame:
     good = good & (from_utf8 | _fits("token", "form"))
     rank = F.struct(F.col("form_n"), from_utf8, -F.length("form"), -F.col("k"))
     fixed = made.where(good).groupBy("token").agg(F.max_by("form", rank).alias("form"))
-    return fixed.unionByName(gone)
+    usual = "^[А-ЯЁ]?[а-яё]+$"
+    plain = vocab.where(F.col("token").rlike(usual)).select(F.lower("token").alias("own")).distinct()
+    likely = made.where(cyrillic_only & F.col("form").rlike(usual) & _fits("token", "form")).withColumn("own", F.lower("token")).join(plain, "own", "left_anti")
+    return fixed.unionByName(gone), likely.select("token", "k", "form", ((F.col("form_n") >= RATIO) & (F.length("form") >= 3)).alias("strong"))
 
 
 def garbled_records(records: DataFrame, id_col: str = "rec_id", text: str = "text", extra: list[str] | None = None) -> DataFrame:
     """(id, token, form) of every garbled word of every record."""
-    bad = cut(garbled_words(records, text))
-    suspects = records.where(F.col(text).rlike(_OUTSIDE)).select(id_col, *(extra or []), F.explode(F.array_distinct(words(F.col(text), _OUTSIDE))).alias("token"))
-    return suspects.join(bad, "token")
+    bad, likely = garbled_words(records, text)
+    bad = cut(bad)
+    suspects = records.where(F.col(text).rlike(_OUTSIDE)).select(id_col, *(extra or []), F.col(text).alias("__t"), F.explode(F.array_distinct(words(F.col(text), _OUTSIDE))).alias("token"))
+    out = suspects.join(bad, "token").select("token", id_col, *(extra or []), "form")
+    if likely is None:
+        return out
+    of_text = suspects.dropDuplicates([id_col, "__t", "token"]).join(cut(likely), "token").groupBy(id_col, "__t", "k").agg(
+        F.count_if("strong").alias("n"), F.collect_list(F.struct("token", "form", *(extra or []))).alias("w")
+    )
+    more = of_text.where(F.col("n") >= SUPPORT).select(id_col, "__t", "k", "n", F.inline("w"))
+    more = more.groupBy(id_col, "__t", *(x for x in extra or [] if x != "__t"), "token").agg(F.max_by("form", F.struct("n", -F.col("k"))).alias("form"))
+    return out.unionByName(more.join(bad, "token", "left_anti").select("token", id_col, *(extra or []), "form"))
 
 
 def found(records: DataFrame) -> DataFrame:
