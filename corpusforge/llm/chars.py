@@ -20,10 +20,11 @@ LOOK_ALIKES = {
     "Α": "A", "Β": "B", "Ε": "E", "Ζ": "Z", "Η": "H", "Ι": "I", "Κ": "K", "Μ": "M", "Ν": "N", "Ο": "O", "Ρ": "P", "Τ": "T", "Υ": "Y", "Χ": "X",
 }
 
-#: (written, read): a text's true encoding and the one it was decoded with.
-TRANSFORMS = [("utf-8", r) for r in ("cp1252", "mac_roman", "cp850", "cp437", "cp1251", "koi8-r", "cp866", "cp1250", "iso8859-15")] + [
-    (w, r) for w in ("cp1252", "mac_roman", "cp850", "cp437") for r in ("cp1252", "mac_roman", "cp850", "cp437") if w != r
-] + [(w, r) for w in ("cp1251", "koi8-r", "cp866") for r in ("cp1251", "koi8-r", "cp866", "cp1252", "mac_roman") if w != r]
+#: One-byte encodings a text may have been written in or read with: those of Latin letters, those of Cyrillic ones.
+LATIN_CODECS = ["cp1252", "mac_roman", "cp850", "cp437", "cp1250", "iso8859-15", "cp1257"]
+CYRILLIC_CODECS = ["cp1251", "koi8-r", "cp866", "iso8859-5"]
+#: (written, read): every true encoding with every other one that a text may have been decoded with.
+TRANSFORMS = [(w, r) for w in ["utf-8", *LATIN_CODECS, *CYRILLIC_CODECS] for r in LATIN_CODECS + CYRILLIC_CODECS if w != r]
 
 
 @lru_cache(maxsize=None)

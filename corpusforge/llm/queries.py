@@ -52,6 +52,10 @@ def p3_mix(spark, d):
     return _mixed(spark, d)[0].where("copies > 0")
 
 
+def p4_method(spark, d):
+    return encoding.found_by_records(table(spark, d, "manifest"))
+
+
 def p4_found(spark, d):
     return encoding.found(table(spark, d, "manifest"))
 
@@ -125,7 +129,7 @@ def p10_pieces(spark, d):
 QUERIES = {
     f.__name__: f
     for f in (
-        p1_found, p1_segments, p2_found, p2_normalised, p3_found, p3_report, p3_mix, p4_found, p4_restored, p5_found, p5_splits, p5_report,
+        p1_found, p1_segments, p2_found, p2_normalised, p3_found, p3_report, p3_mix, p4_method, p4_found, p4_restored, p5_found, p5_splits, p5_report,
         p6_found, p6_rates, p7_found, p7_counts, p8_sequences, p8_fills, p9_found, p9_clean, p10_found, p10_pieces,
     )
 }

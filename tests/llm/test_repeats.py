@@ -23,3 +23,31 @@ def test_copies_with_other_ends(spark):
     rows = [*enumerate(CLEAN * 3), (200, "дом лес вода пол".encode("koi8-r").decode("cp1251")), *((100 + k, f"{bad} {k}") for k in range(3))]
     df = spark.createDataFrame([(i, t if i >= 100 else f"{t} {i}") for i, t in rows], "rec_id bigint, text string")
     assert {r.rec_id: r.text for r in encoding.restored(df).collect()} == {200: "дом лес вода пол", **{100 + k: f"{TEXT} {k}" for k in range(3)}}
+
+
+def test_a_change_no_encoding_table_knows_is_learned(spark):
+    """National 7-bit letters: the table comes from aligned runs; brackets around a word and table bars are no letters."""
+    words = ["hänen", "käyrä", "näkö", "kylä", "yöllä", "löytö", "työtä", "mätäs", "pöytä", "sähkö", "nämä", "älä"]
+    clean = [(i, " ".join(words[(i * 5 + k) % 12] for k in range(6)) + f" {i}") for i in range(40)]
+    wrong = str.maketrans("äöåÄÖÅ", "{|}[\\]")
+    bad = {100 + k: " ".join(words[(k + j) % 12].translate(wrong) for j in range(4)) + "." for k in range(12)}
+    other = [(900, "{Kesila} ja [Norela] kala"), (901, "kala | meri | talo|"), (902, "kala{meri|talo")]
+    df = spark.createDataFrame([*clean, *bad.items(), *other], "rec_id bigint, text string")
+    assert {r.rec_id for r in encoding.found(df).collect()} == set(bad)
+    back = str.maketrans("{|}[\\]", "äöåÄÖÅ")
+    assert {r.rec_id: r.text for r in encoding.restored(df).collect()} == {k: t.translate(back) for k, t in bad.items()}
+
+
+def test_mappings_are_inferred_from_runs():
+    runs = {("Ã¤", "ä"): 9, ("Ã¶", "ö"): 7, ("Ã¤Ã¤", "ää"): 3, ("{", "ä"): 5, ("|", "ö"): 4, ("Σ", "ä"): 2}
+    got = encoding.inferred(runs, {})
+    assert (got[0].written, got[0].read) == ("utf-8", "cp1252") and got[-1].table == (("{", "ä"), ("|", "ö")) and len(got) == 2
+    assert encoding.aligned("k{yr{", "käyrä") == [("{", "ä"), ("{", "ä")] and encoding.aligned("k{yr", "kyrä") is None
+
+
+def test_records_as_twins(spark):
+    texts = [f"{w} {i} oli talossa kun laiva tuli" for i, w in enumerate(["hänen", "käyrä", "näkö", "kylä", "sähkö", "mätäs"])]
+    rows = [*enumerate(texts), *((10 + i, t.encode().decode("cp1252")) for i, t in enumerate(texts)), (30, "väylä".encode().decode("cp1252")), (31, "São Tomaz"), (32, None)]
+    df = spark.createDataFrame(rows, "rec_id bigint, text string")
+    assert {r.rec_id for r in encoding.found_by_records(df).collect()} == {*range(10, 16), 30}
+    assert encoding.found_by_records(df.limit(0)).collect() == []
