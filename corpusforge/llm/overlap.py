@@ -1,11 +1,19 @@
 """Same or near-same records across splits (problem 7).
 
-Assistant contents are reduced to distinct texts; a text is a vector of weighted terms (pairs of neighbouring
-and next-but-one words; any two words where a text has few), weight ln(N / document frequency). Train and held-out
-texts are joined by their cosine: each text's terms are ordered from rare to frequent, the frequent end whose norm
-stays below the residual bound is left out of the inverted lists, lists join only where lengths allow a match,
-and pairs are kept whose partial product, the residuals added, can reach the threshold. Their texts are then
-compared exactly. Images join on the path from the images folder on.
+Assistant contents are reduced to distinct texts; a text is a vector of weighted terms: ordered pairs of words near
+each other, a pair's weight the sum of its words' ln(1 + N / document frequency); words that occur on one side only
+(misreadings, mostly) are outside the space, or their weights would part near texts. Texts of few words have their
+8-letter runs as terms as well. Train and held-out vectors are joined by their cosine over inverted lists:
+
+* terms are ordered from rare to frequent, by their weight alone, so both sides order them alike. The frequent end
+  of a vector is left out of the lists while all it could add to any cosine stays below a share of the threshold:
+  its norm bounds that (residual norm), on the train side also its products with the greatest weights that any
+  held-out vector of such a length can have (maximum weight);
+* lists are kept by length class, and a list that may be long is cut into blocks, held-out terms going to each;
+* a pair stays if its partial product and what was left out can reach the threshold; the exact dot product of the
+  whole vectors decides then, and the edit-distance rule last.
+
+Images join on the path from the images folder on.
 
 Defined results: null, short (under ``least_chars``) and missing contents match by image only; null and empty
 image lists match by content only; entries repeated within a split are each paired; a pair found twice is one row.
@@ -17,18 +25,19 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusforge.llm.folding import coarse
-from corpusforge.runtime import cut
+from corpusforge.runtime import cut, small
 
-#: Cosine that a candidate pair needs, for texts of many and of few words.
-COSINE, COSINE_FEW = 0.2, 0.05
-#: Share of the terms of the text with fewer that a pair must have in common.
-SHARED, SHARED_FEW = 0.05, 0.05
-#: Norm of the frequent terms that may be left out of the inverted lists.
-RESIDUAL, RESIDUAL_FEW = 0.1, 0.03
-#: Texts of up to FEW words are vectors of any two of their words, texts of more than MANY of near ones; between, both.
-FEW, MANY = 10, 7
-#: Texts of up to SINGLE words have their words as terms as well.
-SINGLE = 3
+#: Cosine that a pair needs: at one edit in ten characters 0.41 of the words stay whole, and the cosine of word pairs
+#: is about that share; it scatters by the square root of the number of words.
+COSINE, SCATTER, LEAST_COSINE = 0.4, 1.3, 0.05
+#: Share of the threshold that the terms left out of the lists may reach.
+LEFT_OUT = 0.8
+#: Word pairs a short text has at least, about: a word is paired with so many of the next ones.
+PAIRS = 45
+#: Texts of up to FEW words have their runs of GRAM letters as terms; at one edit in ten of 40 letters one run stays whole.
+FEW, GRAM = 4, 8
+#: Train texts in one block of an inverted list, at most about.
+LIST_BLOCK = 50_000
 
 
 def content(df: DataFrame) -> Column:
@@ -49,63 +58,126 @@ def texts(df: DataFrame, least_chars: int) -> tuple[DataFrame, DataFrame]:
     return t, e.join(t.select("text", "tid"), "text").select("entry_id", "split_name", "tid")
 
 
-def _word_pairs(n: Column, gap: int) -> Column:
-    pair = lambda i: F.xxhash64(F.get("w", i), F.get("w", i + gap), F.lit(gap))
-    return F.when(n > gap, F.transform(F.sequence(F.lit(0), n - 1 - gap), pair)).otherwise(F.array().cast("array<bigint>"))
+def _units(t: DataFrame) -> DataFrame:
+    """(tid, text, train, held, n_words, unit): the words of each text in order, then its letter runs where words are few."""
+    w = t.withColumn("__c", coarse(F.col("text"))).withColumn("__w", F.filter(F.split("__c", " "), lambda x: x != ""))
+    n = F.size("__w")
+    runs = F.transform(F.sequence(F.lit(1), F.length("__c") - GRAM + 1), lambda i: F.xxhash64(F.substring("__c", i, F.lit(GRAM)), F.lit("run")))
+    runs = F.when((n <= FEW) & (F.length("__c") >= GRAM), F.array_distinct(runs)).otherwise(F.array().cast("array<bigint>"))
+    unit = lambda h, at, word: F.struct(at.alias("at"), F.lit(word).alias("word"), h.alias("h"))
+    units = F.concat(F.transform("__w", lambda x, i: unit(F.xxhash64(x), i, True)), F.transform(runs, lambda h: unit(h, F.lit(-1), False)))
+    return w.select("tid", "text", "train", "held", n.alias("n_words"), F.explode(units).alias("u")).select("tid", "text", "train", "held", "n_words", "u.*")
 
 
-def vectors(t: DataFrame) -> DataFrame:
-    """(tid, n_chars, train, held, few, term): the distinct terms of each text."""
-    w = t.select("tid", F.length("text").alias("n_chars"), "train", "held", F.filter(F.split(coarse(F.col("text")), " "), lambda x: x != "").alias("w"))
-    n = F.size("w")
-    pairs = F.concat(_word_pairs(n, 1), _word_pairs(n, 2))
-    any_two = F.flatten(F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.transform(F.slice("w", i + 2, n), lambda y: F.xxhash64(F.get("w", i), y))))
-    single = F.when(n <= SINGLE, F.transform("w", lambda x: F.xxhash64(x))).otherwise(F.array().cast("array<bigint>"))
-    kinds = F.array(
-        F.struct(F.lit(True).alias("few"), F.when((n > 0) & (n <= FEW), F.array_distinct(F.concat(any_two, single))).alias("terms")),
-        F.struct(F.lit(False).alias("few"), F.when(n > MANY, F.array_distinct(pairs)).alias("terms")),
-    )
-    v = w.select("tid", "n_chars", "train", "held", F.explode(kinds).alias("k")).select("tid", "n_chars", "train", "held", "k.few", F.explode("k.terms").alias("term"))
-    return v.withColumn("term", F.xxhash64("term", "few"))
+def unit_counts(t: DataFrame) -> DataFrame:
+    """(h, n, idf): words and letter runs that occur on both sides, and the distinct texts that hold them."""
+    u = _units(t).select("tid", "train", "held", "h").distinct()
+    s = u.groupBy("h").agg(F.count_if("train").alias("n_train"), F.count_if("held").alias("n_held"), F.count("*").alias("n")).where("n_train > 0 and n_held > 0")
+    return s.select("h", "n", F.log1p(F.lit(float(t.count())) / F.col("n")).alias("idf"))
+
+
+def _sum(terms: Column, f) -> Column:
+    return F.aggregate(terms, F.lit(0.0), lambda a, x: a + f(x))
+
+
+def vectors(t: DataFrame, units: DataFrame) -> DataFrame:
+    """(tid, text, need, norm, terms ARRAY<STRUCT<w, term, most>>): terms from rare to frequent; ``most`` bounds the texts that hold one, ``need`` is the cosine asked for."""
+    gap = F.greatest(F.lit(1), F.ceil(F.lit(PAIRS) / F.col("n_words"))).cast("int")
+    v = _units(t).join(small(units), "h").groupBy("tid", "text", "n_words").agg(F.sort_array(F.collect_list(F.struct("word", "at", "h", "idf", "n"))).alias("u"))
+    v = v.select("tid", "text", "n_words", gap.alias("gap"), F.filter("u", lambda x: x["word"]).alias("ws"), F.filter("u", lambda x: ~x["word"]).alias("rs"))
+    pair = lambda x, y: F.struct((x["idf"] + y["idf"]).alias("w"), F.xxhash64(x["h"], y["h"]).alias("term"), F.least(x["n"], y["n"]).alias("most"))
+    after = lambda x, i: F.filter(F.slice("ws", i + 2, F.col("gap")), lambda y: y["at"] - x["at"] <= F.col("gap"))
+    pairs = F.flatten(F.transform("ws", lambda x, i: F.transform(after(x, i), lambda y: pair(x, y))))
+    single = F.transform("rs", lambda x: F.struct(x["idf"].alias("w"), x["h"].alias("term"), x["n"].alias("most")))
+    terms = F.sort_array(F.array_distinct(F.concat(pairs, single)), asc=False)
+    need = F.greatest(F.lit(LEAST_COSINE), F.lit(COSINE) - F.lit(SCATTER) / F.sqrt("n_words"))
+    v = v.select("tid", "text", need.alias("need"), F.explode(F.array(terms)).alias("terms")).where(F.size("terms") > 0)  # the generator keeps it computed once
+    return v.select("tid", "text", "need", F.explode(F.array(F.sqrt(_sum(F.col("terms"), lambda x: x["w"] * x["w"])))).alias("norm"), "terms")
+
+
+def _class(n: Column) -> Column:
+    """Length class: the whole part of twice the binary logarithm."""
+    return F.floor(2 * F.log2(n)).cast("int")
+
+
+def _classes(n: Column, ratio: float) -> Column:
+    """Classes of the lengths that go with ``n``: two at most for a ratio near one."""
+    return F.sequence(_class(F.greatest(F.lit(1.0), F.floor(n * ratio))), _class(F.ceil((n + 1) / ratio)))
+
+
+def _listed(v: DataFrame, greatest: DataFrame | None = None) -> DataFrame:
+    """(tid, n, need, rest, w, term, most): the terms of each vector that go into the lists, and what the others can add to a cosine."""
+    v = v.withColumn("n", F.length("text"))
+    if greatest is None:
+        cap = F.lit(float("inf"))
+    else:
+        v, cap = v.withColumn("cls", _class(F.col("n"))).join(F.broadcast(greatest), "cls", "left"), F.coalesce("inverse_norm", F.lit(0.0))  # at most some dozens of classes
+    bound = lambda mass: F.least(F.sqrt(mass) / F.col("norm"), mass / F.col("norm") * cap) if greatest is not None else F.sqrt(mass) / F.col("norm")
+    zero = F.struct(F.lit(0.0).alias("mass"), F.lit(0).alias("out"), F.lit(0.0).alias("kept_out"))
+
+    def step(a, x):
+        mass = a["mass"] + x["w"] * x["w"]
+        fits = bound(mass) <= F.col("need") * LEFT_OUT
+        return F.struct(mass.alias("mass"), F.when(fits, a["out"] + 1).otherwise(a["out"]).alias("out"), F.when(fits, mass).otherwise(a["kept_out"]).alias("kept_out"))
+
+    v = v.select("*", F.explode(F.array(F.aggregate(F.reverse("terms"), zero, step))).alias("cut"))
+    kept = v.select("tid", "n", "need", "norm", bound(F.col("cut.kept_out")).alias("rest"), F.explode(F.slice("terms", F.lit(1), F.size("terms") - F.col("cut.out"))).alias("x"))
+    return kept.select("tid", "n", "need", "rest", (F.col("x.w") / F.col("norm")).alias("w"), "x.term", "x.most")
 
 
 def similar_texts(t: DataFrame, length_ratio: float = 0.9) -> DataFrame:
-    """(a, b): texts of the train and the held-out side whose cosine can reach the threshold."""
-    v = vectors(t)
-    n = t.count()
-    df = v.groupBy("term").agg(F.count_if("train").alias("n_train"), F.count_if("held").alias("n_held"), F.count("*").alias("n"))
-    weighed = v.join(df, "term").withColumn("w", F.log((F.lit(n) + 1) / F.col("n")))
-    # one vector a row: terms of both sides from frequent to rare, with the running norm of the frequent end; terms of
-    # one side only (misreadings, mostly) are outside the space, or their high weights would part near texts
-    shared = F.when((F.col("n_train") > 0) & (F.col("n_held") > 0), F.struct("w", "term"))
-    vec = weighed.groupBy("tid", "few", "n_chars", "train", "held").agg(F.sqrt(F.sum(F.when(shared.isNotNull(), F.col("w") * F.col("w")))).alias("norm"), F.count("*").alias("n_terms"), F.sort_array(F.collect_list(shared)).alias("terms"))
-    left_out = F.when(F.col("few"), RESIDUAL_FEW).otherwise(RESIDUAL)
-    step = F.aggregate(
-        "terms",
-        F.struct(F.lit(0.0).alias("mass"), F.lit(0).alias("out")),
-        lambda a, x: F.struct((a["mass"] + x["w"] * x["w"]).alias("mass"), F.when(a["mass"] + x["w"] * x["w"] <= F.pow(F.col("norm") * left_out, 2), a["out"] + 1).otherwise(a["out"]).alias("out")),
-        lambda a: a["out"],
-    )
-    vec = vec.where((F.size("terms") > 0) & (F.col("norm") > 0)).withColumn("skip", F.explode(F.array(step)))
-    kept = vec.select("tid", "few", "n_chars", "train", "held", "norm", (F.col("n_terms") - F.col("skip")).alias("m"), (F.col("skip") > 0).alias("rest"), F.explode(F.slice("terms", F.col("skip") + 1, F.size("terms"))).alias("x"))
-    kept = cut(kept.select("tid", "few", "n_chars", "train", "held", "m", "rest", F.col("x.term").alias("term"), (F.col("x.w") / F.col("norm")).cast("float").alias("w")))
-    a = kept.where("train").select("term", F.col("tid").alias("a"), F.col("n_chars").alias("na"), F.col("w").alias("wa"), F.col("m").alias("ma"), F.col("rest").alias("ra"), "few")
-    b = kept.where("held").select("term", F.col("tid").alias("b"), F.col("n_chars").alias("nb"), F.col("w").alias("wb"), F.col("m").alias("mb"), F.col("rest").alias("rb"))
+    """(a, b, cosine, ta, tb): texts of the train and the held-out side whose cosine reaches the threshold."""
+    units = cut(unit_counts(t))
+    train, held = vectors(t.where("train"), units), vectors(t.where("held"), units)
+    # a weight w of a held-out vector is w / norm: the least norm of a class bounds them all
+    near = held.select(F.explode(_classes(F.length("text"), length_ratio)).alias("cls"), (1 / F.col("norm")).alias("i"))
+    greatest = cut(near.groupBy("cls").agg(F.max("i").alias("inverse_norm")))
+    blocks = F.ceil(F.col("most") / LIST_BLOCK).cast("int")
+    a = _listed(train, greatest).select(F.col("tid").alias("a"), F.col("n").alias("na"), F.col("need").alias("ta"), F.col("rest").alias("ra"), F.col("w").alias("wa"), "term", _class(F.col("n")).alias("cls"), F.pmod(F.xxhash64("tid"), blocks).cast("int").alias("block"))
+    b = _listed(held).select(F.col("tid").alias("b"), F.col("n").alias("nb"), F.col("need").alias("tb"), F.col("rest").alias("rb"), F.col("w").alias("wb"), "term", F.explode(_classes(F.col("n"), length_ratio)).alias("cls"), blocks.alias("blocks"))
+    b = b.select("*", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block")).drop("blocks")
+    key = lambda d: d.withColumn("key", F.xxhash64("term", "cls", "block")).drop("term", "cls", "block")
     fits = (F.col("na") >= F.floor(F.col("nb") * length_ratio)) & (F.col("nb") >= F.floor(F.col("na") * length_ratio)) & (F.col("a") != F.col("b"))
-    dots = a.join(b, "term").where(fits).groupBy("a", "b", "few").agg(F.sum(F.col("wa") * F.col("wb")).alias("dot"), F.count("*").alias("common"), F.first(F.least("ma", "mb")).alias("m"), F.max(F.col("ra") | F.col("rb")).alias("rest"))
-    need = F.when(F.col("few"), COSINE_FEW).otherwise(COSINE) - F.when(F.col("rest"), F.when(F.col("few"), RESIDUAL_FEW).otherwise(RESIDUAL)).otherwise(0.0)
-    enough = F.col("common") >= F.col("m") * F.when(F.col("few"), SHARED_FEW).otherwise(SHARED)
-    return dots.where((F.col("dot") >= need) & enough).select("a", "b").distinct()
+    pairs = key(a).join(key(b), "key").where(fits).groupBy("a", "b").agg(
+        F.sum(F.col("wa") * F.col("wb")).alias("part"), F.max(F.greatest("ra", "rb")).alias("rest"), F.min(F.least("ta", "tb")).alias("need")
+    )
+    pairs = cut(pairs.where("part + rest >= need").select("a", "b", "need"))
+    some = pairs.select(F.col("a").alias("tid")).union(pairs.select(F.col("b").alias("tid"))).distinct()
+    whole = vectors(t.join(small(some), "tid", "left_semi"), units).select("tid", "text", "norm", "terms")
+    whole = cut(whole)
+    side = lambda x: whole.select(*[F.col(c).alias(f"{c}_{x}") for c in whole.columns]).withColumnRenamed(f"tid_{x}", x)
+    dot = _sum(F.array_intersect("terms_a", "terms_b"), lambda x: x["w"] * x["w"])
+    both = pairs.join(side("a"), "a").join(side("b"), "b").withColumn("cosine", dot / (F.col("norm_a") * F.col("norm_b")))
+    return both.where("cosine >= need").select("a", "b", "cosine", F.col("text_a").alias("ta"), F.col("text_b").alias("tb"))
 
 
 def near_texts(t: DataFrame, share: float = 0.1) -> DataFrame:
     """(a, b, distance): similar texts at an edit distance of at most ``share`` of the longer one; equal texts at 0."""
     p = similar_texts(t, 1 - share)
-    p = p.join(t.select(F.col("tid").alias("a"), F.col("text").alias("ta")), "a").join(t.select(F.col("tid").alias("b"), F.col("text").alias("tb")), "b")
-    most = F.floor(F.greatest(F.length("ta"), F.length("tb")) * share).cast("int")
-    p = p.withColumn("most", most).withColumn("distance", F.expr("levenshtein(ta, tb, most)")).where("distance >= 0").select("a", "b", "distance")
     same = t.where("train and held").select(F.col("tid").alias("a"), F.col("tid").alias("b"), F.lit(0).alias("distance"))
-    return p.unionByName(same)
+    return _within(p, share).unionByName(same)
+
+
+def _within(p: DataFrame, share: float) -> DataFrame:
+    most = F.floor(F.greatest(F.length("ta"), F.length("tb")) * share).cast("int")
+    return p.withColumn("most", most).withColumn("distance", F.expr("levenshtein(ta, tb, most)")).where("distance >= 0").select("a", "b", "distance")
+
+
+def near_texts_of(t: DataFrame, every: int = 100, share: float = 0.1, block: int = 2_000) -> DataFrame:
+    """(a, b, distance) of the held-out texts whose id is divisible by ``every``, each compared with all train texts.
+
+    The stated query set goes against all rows in blocks of ``block`` texts, a broadcast of bounded size each.
+    """
+    asked = t.where(F.col("held") & (F.col("tid") % every == 0)).select(F.col("tid").alias("b"), F.col("text").alias("tb"))
+    n = max(1, -(-asked.count() // block))
+    train = t.where("train").select(F.col("tid").alias("a"), F.col("text").alias("ta"))
+    out = None
+    for k in range(n):
+        part = asked.where(F.pmod(F.xxhash64("b"), F.lit(n)) == k)
+        fits = (F.length("ta") >= F.floor(F.length("tb") * (1 - share))) & (F.length("tb") >= F.floor(F.length("ta") * (1 - share)))
+        p = _within(train.join(F.broadcast(part), fits), share)
+        out = p if out is None else out.unionByName(p)
+    return out
 
 
 def overlaps(df: DataFrame, least_chars: int = 40, share: float = 0.1) -> DataFrame:

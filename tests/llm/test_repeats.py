@@ -51,3 +51,26 @@ def test_records_as_twins(spark):
     df = spark.createDataFrame(rows, "rec_id bigint, text string")
     assert {r.rec_id for r in encoding.found_by_records(df).collect()} == {*range(10, 16), 30}
     assert encoding.found_by_records(df.limit(0)).collect() == []
+
+
+def test_cosine_join_keeps_noisy_copies(spark):
+    from corpusforge.llm import overlap
+    from tests.llm import recall_overlap as R
+
+    texts = R.contents(spark, "/root/testdata/sf0.001")
+    for share, least in ((0.04, 0.99), (0.095, 0.9)):
+        found, all_ = R.recall(spark, texts, share)
+        assert all_ > 100 and found >= least * all_
+    t, _ = overlap.texts(spark.read.parquet("/root/testdata/sf0.01/chat_entries.parquet"), 40)
+    of = {tuple(r) for r in overlap.near_texts_of(t, 10).collect()}
+    got = {tuple(r) for r in overlap.near_texts(t).where("b % 10 = 0 and a <> b").collect()}
+    assert {x for x in of if x[0] != x[1]} == got
+
+
+def test_short_texts_of_long_words(spark):
+    from corpusforge.llm import overlap
+
+    a, b = "abcdefghijklmnopqrstuvwxyzåäö" * 2, "kalastajatorpparikansankoulu merimieskirkonmäellä"
+    rows = [(1, a, True, False), (2, a[:20] + "X" + a[21:], False, True), (3, b, True, False), (4, b.replace(" ", ""), False, True), (5, "x" * 60, False, True)]
+    t = spark.createDataFrame(rows, "tid bigint, text string, train boolean, held boolean")
+    assert {tuple(r) for r in overlap.near_texts(t).collect()} == {(1, 2, 1), (3, 4, 1)}
