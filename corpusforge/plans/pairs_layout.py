@@ -129,65 +129,98 @@ def vertical_bands(spark, d):
 
 
 def _rasters(spark, d):
-    """8 x 8 grey rasters from the 64 numbers of each embedding."""
-    pixel = lambda x: F.lpad(F.hex(F.greatest(F.lit(0), F.least(F.lit(255), F.floor(x * 64 + 128)))), 2, "0")
+    """64 x 64 grey rasters from the 64 numbers of each embedding, an 8 x 8 block each."""
+    pixel = lambda x: F.repeat(F.lpad(F.hex(F.greatest(F.lit(0), F.least(F.lit(255), F.floor(x * 64 + 128)))), 2, "0"), F.lit(8))
+    row = lambda r: F.repeat(F.array_join(F.transform(F.slice("embedding", r * 8 + 1, F.lit(8)), pixel), ""), F.lit(8))
     e = table(spark, d, "embeddings").where(F.size("embedding") == 64)
-    return e.select(F.col("vec_id").alias("id"), F.lit(8).alias("h"), F.lit(8).alias("w"), F.unhex(F.array_join(F.transform("embedding", pixel), "")).alias("data"))
+    return e.select(F.col("vec_id").alias("id"), F.lit(64).alias("h"), F.lit(64).alias("w"), F.unhex(F.array_join(F.transform(F.sequence(F.lit(0), F.lit(7)), row), "")).alias("data"))
 
 
-def _one(spark, d, *names):
+def _one(spark, d, name, **params):
     r = _rasters(spark, d)
-    return G.augmented(r, r.select("id", F.array(*map(F.lit, names)).alias("transforms"))).select("id", "h", "w", F.hex("data").alias("pixels"), "error")
+    return G.augmented(r, r.select("id", F.array(F.lit(0)).alias("picks")), entries=[{"name": name, "params": params}]).select("id", "h", "w", F.md5(F.hex("data")).alias("pixels_md5"), "error")
 
 
-@query("G1 G2 G4 G15")
-def clamp_add_noise(spark, d):
-    return _one(spark, d, "gaussian_noise", "color_jitter", "iso_noise")
+@query("G1 G2 G3 G4 G5 G6 G7 G8 G9 G10 G11 G12 G13 G14 G15 G16 G17 G18 G19 G20 G21 G22 G23 G24")
+def augment_each(spark, d):
+    """Every image under every transform, one at a time, with what it did to the pixels."""
+    names = sorted(G.TRANSFORMS)
+    r = _rasters(spark, d).withColumnRenamed("id", "vec_id").withColumn("k", F.explode(F.array(*map(F.lit, range(len(names))))))
+    r = r.select((F.col("vec_id") * 100 + F.col("k")).alias("id"), "h", "w", "data", "k")
+    a = G.augmented(r, r.select("id", F.array("k").alias("picks")), entries=[{"name": n} for n in names])
+    name = F.element_at(F.array(*map(F.lit, names)), (F.col("id") % 100 + 1).cast("int"))
+    return a.select(F.expr("id div 100").alias("vec_id"), name.alias("transform"), "h", "w", F.md5("data").alias("pixels_md5"), "error")
 
 
-@query("G16 G20 G23")
-def salt_pepper(spark, d):
-    return _one(spark, d, "mask_salt_pepper", "mask_random_pixel", "mask_random_block")
+_GREY = "greatest(0, least(255, floor(embedding[(r * 8 + c + 1)::int] * 64 + 128)))::bigint"
+_HEX = f"lpad(to_hex({_GREY}), 2, '0')"
 
 
-@query("G22")
-def mosaic(spark, d):
-    return _one(spark, d, "mosaic")
+def _grid_sql(row, n_rows, n_cols, before="", after=""):
+    return f"select vec_id as id, {n_rows} as h, {n_cols} as w, md5({before}array_to_string(list_transform(generate_series(0, 7), lambda r: {row}), ''){after}) as pixels_md5, null::varchar as error from embeddings where len(embedding) = 64"
 
 
-@query("G2 G21")
-def box_blur(spark, d):
-    return _one(spark, d, "box_blur")
+_CELLS = f"array_to_string(list_transform(generate_series(0, 7), lambda c: repeat({_HEX}, 8)), '')"
 
 
-@query("G10", """select vec_id as id, 10 as h, 10 as w, repeat('FF', 10) || array_to_string(list_transform(generate_series(0, 7), lambda r: 'FF' || array_to_string(list_transform(embedding[(r * 8 + 1)::int:(r * 8 + 8)::int],
-    lambda x: lpad(to_hex(greatest(0, least(255, floor(x * 64 + 128)))::bigint)::varchar, 2, '0')), '') || 'FF'), '') || repeat('FF', 10) as pixels, null::varchar as error from embeddings where len(embedding) = 64""")
+@query("G10", _grid_sql(f"repeat(repeat('FF', 8) || {_CELLS} || repeat('FF', 8), 8)", 80, 80, "repeat('FF', 640) || ", " || repeat('FF', 640)"))
 def pad_white(spark, d):
-    return _one(spark, d, "image_padding")
+    """A quarter more on each side of the middle: nothing is left to chance."""
+    return _one(spark, d, "image_padding", w_ratio=(0.25, 0.25), h_ratio=(0.25, 0.25), center=True)
+
 
+@query("G22 G23", "with m as (select vec_id, list_transform(generate_series(0, 3), lambda R: list_transform(generate_series(0, 3), lambda C: list_sum(list_transform(generate_series(0, 3), lambda k: greatest(0, least(255, floor(embedding[((2 * R + k // 2) * 8 + 2 * C + k % 2 + 1)::int] * 64 + 128))))) / 4)) as g from embeddings where len(embedding) = 64) "
+    "select vec_id as id, 64 as h, 64 as w, md5(array_to_string(list_transform(g, lambda row: repeat(array_to_string(list_transform(row, lambda v: repeat(lpad(to_hex(round_even(v, 0)::bigint), 2, '0'), 16)), ''), 16)), '')) as pixels_md5, null::varchar as error from m")
+def mosaic(spark, d):
+    """The whole image in cells of 16 pixels, whose middle lies on the corner of four blocks."""
+    return _one(spark, d, "mask_mosaic", coords=[(0, 0, 64, 64)], size=16)
 
-@query("G5 G6 G7 G8 G9 G11 G12 G13 G14")
-def distortions(spark, d):
-    return _one(spark, d, "curve", "dropout_horizontal", "dropout_vertical", "dropout_rand", "line_overlay", "text_border", "motion_blur", "grid_distortion", "optical_distortion")
+
+@query("G23", _grid_sql(_CELLS.join(["repeat(", ", 8)"]), 64, 64))
+def mask_of_nothing(spark, d):
+    """Boxes outside the image, or empty, change nothing."""
+    return _one(spark, d, "mask_random_block", coords=[(70, 0, 90, 20), (5, 5, 5, 9), (-9, -9, 0, 0)])
 
 
 # Category weights of the augmentation policy.
-POLICY = {"region_mask": 0.15, "noise": 0.25, "distortion": 0.20, "degradation": 0.20, "geometric": 0.10, "padding": 0.10}
+POLICY = {"strategy": "weighted", "num_transforms": [1, 3], "category_weights": {"region_mask": 0.15, "noise": 0.25, "distortion": 0.20, "degradation": 0.20, "geometric": 0.10, "padding": 0.10}}
 ENTRIES = [
-    ("gaussian_noise", 0.5, "noise"), ("iso_noise", 0.5, "noise"), ("mask_salt_pepper", 0.5, "region_mask"), ("mask_mosaic", 0.5, "region_mask"), ("curve", 0.5, "distortion"),
-    ("grid_distortion", 0.5, "distortion"), ("gaussian_blur", 0.5, "degradation"), ("motion_blur", 0.5, "degradation"), ("rotation", 0.5, "geometric"), ("image_padding", 0.5, "padding"), ("line_overlay", 0.5, "default"),
+    {"name": n, "p": 0.5, "category": c}
+    for n, c in (
+        ("gaussian_noise", "noise"), ("iso_noise", "noise"), ("mask_salt_pepper", "region_mask"), ("mask_mosaic", "region_mask"), ("curve", "distortion"),
+        ("grid_distortion", "distortion"), ("gaussian_blur", "degradation"), ("motion_blur", "degradation"), ("rotation", "geometric"), ("image_padding", "padding"), ("line_overlay", "default"),
+    )
 ]
 
 
-@query("G26 O11 O12 J10 J11 A20 Q26")
+def _policy_sql():
+    rows = ", ".join(f"({k}, '{e['name']}', '{e['category']}', {POLICY['category_weights'].get(e['category'], 0.0)})" for k, e in enumerate(ENTRIES))
+    u = lambda *w: f"(('0x' || substr(md5(concat_ws('|', '42', {', '.join(w)})), 1, 13))::bigint / 4503599627370496.0)"
+    entry = "name || '#' || k"
+    return f"""with e(k, name, category, weight) as (values {rows}),
+        x as (select vec_id as id, e.* from embeddings, e where len(embedding) = 64 and {u("'gate'", "vec_id::varchar", entry)} < 0.5),
+        s as (select *, weight / count(*) over (partition by id, category) as share from x),
+        q as (select *, -ln(greatest({u("'draw'", "id::varchar", entry)}, 1.1102230246251565e-16)) / share as key from s where share > 0),
+        r as (select *, row_number() over (partition by id order by key, k) as r, 1 + floor({u("'n'", "id::varchar")} * 3) as n from q)
+        select id, string_agg(name, ',' order by {u("'order'", "id::varchar", entry)}, k) as transforms from r where r <= n group by id"""
+
+
+@query("G26 O11 O12 J10 J11 A20 Q26", _policy_sql())
 def policy_transform_choice(spark, d):
-    return G.transform_plan(_rasters(spark, d), ENTRIES, POLICY, (1, 3))
+    return G.transform_plan(_rasters(spark, d), ENTRIES, POLICY).select("id", F.array_join("transforms", ",").alias("transforms"))
 
 
-@query("G24 G25 G26 G27")
+@query("G24 G25 G26 S19 X2")
 def policy_augmented(spark, d):
     r = _rasters(spark, d)
-    return G.augmented(r, G.transform_plan(r, ENTRIES, POLICY, (1, 3))).select("id", "h", "w", F.hex("data").alias("pixels"), "error")
+    entries, policy = G.load_config({"augmentations": ENTRIES, "augmentation_policy": POLICY})
+    return G.augmented(r, G.transform_plan(r, entries, policy), entries=entries).select("id", "h", "w", F.md5("data").alias("pixels_md5"), "error")
+
+
+@query("G27 G28")
+def gated_augmented(spark, d):
+    """Brought to a model's size, then every entry behind its own gate."""
+    return G.preprocessed(_rasters(spark, d), ENTRIES, 3000, 6000, 14).select("id", "h", "w", F.md5("data").alias("pixels_md5"), "error")
 
 
 @query("W11 K6 K7 2.13")

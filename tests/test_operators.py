@@ -1,5 +1,7 @@
 """Operators against plain Python versions and invariants."""
 
+import json
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -148,23 +150,114 @@ def test_preference_pipeline(spark):
     assert P.oversampled(capped, "category", ["none"], "id").count() == 105 and P.oversampled(c.limit(0), "category", ["hand"], "id").count() == 0
 
 
-def test_raster(spark):
-    a = np.arange(64, dtype=np.uint8).reshape(8, 8) * 3
-    for name in G.TRANSFORMS:
-        b = G.apply_one(a, name, 1)
-        assert b.dtype == np.uint8 and (b == G.apply_one(a, name, 1)).all()
-    assert (G.apply_one(a, "box_blur", 1)[1:-1, 1:-1] == np.round(sum(a[1 + y : 7 + y, 1 + x : 7 + x].astype(float) for y in (-1, 0, 1) for x in (-1, 0, 1)) / 9)).all()
-    assert G.apply_one(a, "image_padding", 1).shape == (10, 10)
+def page(h=72, w=96, channels=1):
+    """A light page with dark lines of text."""
+    rng = np.random.default_rng(3)
+    a = np.full((h, w), 230.0)
+    for y in range(8, h - 8, 12):
+        a[y : y + 6, 10 : w - 10] = np.where(rng.random((6, w - 20)) < 0.7, 20, 230)
+    return a.astype(np.uint8) if channels == 1 else np.stack([a, a * 0.9, a * 0.8], axis=2).astype(np.uint8)
+
+
+@pytest.mark.parametrize("name", sorted(G.TRANSFORMS))
+@pytest.mark.parametrize("channels", [1, 3])
+def test_every_transform(name, channels):
+    a = page(channels=channels)
+    b = G.apply_one(a, name, 1)
+    assert b.dtype == np.uint8 and b.ndim == a.ndim and (b == G.apply_one(a, name, 1)).all() and (G.apply_one(a, name, 1, p=0.0) == a).all()
+    if not name.endswith(("padding", "scale", "rotation")):
+        assert b.shape == a.shape and any((G.apply_one(a, name, k) != a).any() for k in range(3))
+    for shape in ((1, 1), (1, 9), (5, 2)):
+        G.apply_one(np.full(shape, 9, np.uint8), name, 1)
+
+
+def test_transforms_do_what_they_say():
+    a = page().astype(float)[..., None]
+    rng = lambda k=1: np.random.default_rng(k)
+    many = lambda name, **kw: [G.apply_one(page(), name, k, **kw) for k in range(40)]
+    assert abs(np.mean([b.astype(float) - 128 for b in [G.apply_one(np.full((80, 80), 128, np.uint8), "gaussian_noise", k) for k in range(5)]])) < 2
+    assert 20 < np.std(G.apply_one(np.full((90, 90), 128, np.uint8), "gaussian_noise", 1).astype(float)) < 30
+    flat = np.full((40, 40, 1), 77.0)
+    for f in (G.gaussian_blur, G.motion_blur, G.curve, G.jpeg_compression):
+        assert np.allclose(f(flat, rng()), 77, atol=1.5)
+    down = G.at(a, np.mgrid[:72, :96][0] + 2.0, np.mgrid[:72, :96][1].astype(float))  # two rows down, mirrored at the edge
+    assert np.allclose(down[:-2], a[2:]) and np.allclose(down[-1], a[69]) and np.allclose(down[-2], a[70])
+    shifts = {round(float(np.abs(b.astype(float) - page()).mean()), 3) for b in many("curve")}
+    assert len(shifts) > 30
+    column = G.curve(a, rng(), period=180, amplitude=(3, 3.0001))[:, 45]  # a quarter of the period: moved by three rows
+    assert np.allclose(column[:-3], a[3:, 45], atol=0.1)
+    for name, axis, lines in (("dropout_horizontal", 0, 3), ("dropout_vertical", 1, 8)):
+        b = G.apply_one(np.full((60, 90), 200, np.uint8), name, 1)
+        hit = (b < 21).all(axis=1 - axis)
+        assert 3 <= hit.sum() <= 3 * lines and not hit[0] and ((b < 21) | (b == 200)).all() and (b[0] != 200).sum() == (hit.sum() if axis else 0)
+        assert (G.apply_one(np.full((4, 4), 200, np.uint8), name, 1) == 200).all()
+    share = [(G.apply_one(np.full((60, 60), 250, np.uint8), "dropout_rand", k) != 250).mean() for k in range(30)]
+    assert 0.15 < min(share) < max(share) <= 0.4 and max(share) - min(share) > 0.05
+    line = [G.apply_one(np.full((60, 90), 250, np.uint8), "line_overlay", k) for k in range(60)]
+    rows = {(tuple(np.flatnonzero((b != 250).all(axis=1))), tuple(np.flatnonzero((b != 250).all(axis=0)))) for b in line}
+    assert all(bool(r) != bool(c) and 1 <= len(r + c) <= 3 for r, c in rows) and len({(bool(r), (r + c)[0] // 25) for r, c in rows}) >= 6
+    size = [b.shape for b in many("image_padding")]
+    assert all(72 <= h <= 93 and 96 <= w <= 100 for h, w in size) and len(set(size)) > 15
+    dark = page() < 128
+    for b in many("text_border"):
+        black = b == 0
+        assert black[dark == 0].any() and (b[dark] == page()[dark]).all() and not black[0].any() and not black[:, 0].any()
+    m = G.MASKS["salt_pepper"](np.full((20, 20, 1), 90.0), rng(), 0.15)
+    assert 40 <= (m != 90).sum() <= 60 and {0.0, 90.0, 255.0} == set(np.unique(m))
+    b = G.masked(a, rng(), "random_block", coords=[(-5, -5, 10, 10), (90, 60, 300, 300), (50, 50, 50, 60)])
+    assert (b[10:60] == a[10:60]).all() and (b[:10, :10] != a[:10, :10]).any() and (b[60:, 90:] != a[60:, 90:]).any()
+    k = G._kernel_blur(np.pad(np.full((1, 1, 1), 100.0), ((5, 5), (5, 5), (0, 0))), 1)  # a point spreads by the kernel 1/4 1/2 1/4, nearly
+    assert np.isclose(k.sum(), 100) and k[5, 5] > k[5, 6] > k[6, 6] > 0 and (k[3] == 0).all()
+    with pytest.raises(ValueError):
+        G.masked(a, rng(), "nonsense")
+    boxes = G.random_boxes(50, 80, 0.3, 400, rng())
+    assert {(x2 - x1, y2 - y1) for x1, y1, x2, y2 in boxes} == {(24, 15)} and min(x[0] for x in boxes) == 0 and max(x[2] for x in boxes) == 80
+    p = np.full((60, 90, 1), 240.0)
+    p[10:20, 20:70], p[40:44, 5:15] = 10, 10
+    assert G.contour_boxes(p, 0.1, 2, rng()) == [(16, 7, 74, 23), (1, 37, 19, 47)] and len(G.contour_boxes(np.full((9, 9, 1), 5.0), 0.3, 3, rng())) >= 1
+    assert G.otsu(p[..., 0]) in range(10, 240)
+    worse = [np.abs(G.jpeg_compression(a, rng(), (q, q)) - a).mean() for q in (95, 60, 20)]
+    assert worse[0] < worse[1] < worse[2] < 30
+    z = G.optical_distortion(a, rng(), 0.0)
+    assert np.allclose(z[:, :-1], a[:, :-1]) and G.smart_size(100, 200, 1000, 100_000) == (112, 196) and G.smart_size(1000, 2000, 1000, 100_000)[0] % 28 == 0
+
+
+def test_gates_and_configurations(spark, tmp_path):
+    a = page()
+    assert (G.apply_all(a, ["curve"], 1, p=0.0) == a).all()
+    hits = sum((G.apply_all(a, ["mask_random_block"], k, p=0.3) != a).any() for k in range(300))
+    assert 60 < hits < 120
+    with pytest.raises(ValueError):
+        G.apply_all(a, ["nonsense"], 1)
+    assert (G.apply_all(a, ["nonsense"], 1, onerror="skip") == a).all()
+    orders = {G.apply_all(a, ["mask_mosaic", "line_overlay", "gaussian_blur"], k, shuffle=True).tobytes() == G.apply_all(a, ["mask_mosaic", "line_overlay", "gaussian_blur"], k).tobytes() for k in range(20)}
+    assert orders == {True, False}
+    with pytest.raises(ValueError):
+        G.apply_all(a, [], 1)
+    config = {"augmentations": [{"name": "Curve", "p": 0.4}, {"name": "rotation", "category": "g", "params": {"quarters": [1]}}], "augmentation_policy": {"num_transforms": 2}}
+    (tmp_path / "a.json").write_text(json.dumps(config))
+    assert G.load_config(str(tmp_path / "a.json")) == G.load_config(config) == (config["augmentations"], {"num_transforms": 2}) and G.load_config(config["augmentations"])[1] is None
+    for wrong, error in ((7, TypeError), ([{"name": "x"}], ValueError)):
+        with pytest.raises(error):
+            G.load_config(wrong)
     ids = spark.range(400)
-    entries = [("box_blur", 1.0, "x"), ("mosaic", 1.0, "x"), ("rotation", 1.0, "y"), ("curve", 1.0, "z")]
-    p = G.transform_plan(ids, entries, {"x": 0.2, "y": 0.8}, (1, 2)).collect()
+    entries = [{"name": "mask_blur", "p": 1.0, "category": "x"}, {"name": "mask_mosaic", "p": 1.0, "category": "x"}, {"name": "rotation", "p": 1.0, "category": "y"}, {"name": "curve", "p": 1.0, "category": "z"}]
+    policy = {"strategy": "weighted", "category_weights": {"x": 0.2, "y": 0.8}, "num_transforms": [1, 2]}
+    p = G.transform_plan(ids, entries, policy).collect()
     assert len(p) == 400 and all(1 <= len(r.transforms) <= 2 and "curve" not in r.transforms and len(set(r.transforms)) == len(r.transforms) for r in p)
-    first = [r.transforms[0] for r in p]
-    assert first.count("rotation") > 2.5 * first.count("mosaic")
-    df = spark.createDataFrame([(1, 8, 8, bytearray(a.tobytes())), (2, 3, 3, bytearray(b"x"))], "id bigint, h int, w int, data binary")
-    plan = spark.createDataFrame([(1, ["mosaic", "nonsense"])], "id bigint, transforms array<string>")
-    r = {x.id: x for x in G.augmented(df.where("id = 1"), plan).collect()}
-    assert r[1].error.startswith("nonsense") and len(r[1].data) == 64
+    alone = [r.transforms[0] for r in p if len(r.transforms) == 1]
+    assert alone.count("rotation") > 2.5 * alone.count("mask_mosaic") and 150 < len(alone) < 250
+    two = [tuple(r.transforms) for r in G.transform_plan(ids, entries, {"num_transforms": 2}).collect()]
+    assert len(two) == 400 and len(set(two)) == 12
+    gated = G.gated_plan(ids, [{"name": "curve", "p": 0.25}, {"name": "rotation", "p": 1.0}]).collect()
+    assert len(gated) == 400 and 70 < sum(len(r.picks) == 2 for r in gated) < 130 and all(r.picks in ([1], [0, 1]) for r in gated)
+    rows = [(1, 72, 96, bytearray(a.tobytes())), (2, 3, 3, bytearray(b"x")), (3, 3, 3, None), (4, 0, 0, bytearray()), (5, 72, 96, bytearray(page(channels=3).tobytes()))]
+    df = spark.createDataFrame(rows, "id bigint, h int, w int, data binary")
+    r = {x.id: x for x in G.augmented(df, spark.createDataFrame([(1, ["mask_mosaic", "nonsense"]), (5, None)], "id bigint, transforms array<string>")).collect()}
+    assert r[1].error.startswith("nonsense") and len(r[1].data) == 72 * 96 and all(r[i].error.startswith("raster") for i in (2, 3, 4)) and bytes(r[5].data) == page(channels=3).tobytes()
+    s = {x.id: x for x in G.preprocessed(df, None, 1000, 4000).collect()}
+    assert (s[1].h, s[1].w) == (28, 56) and len(s[5].data) == 3 * 28 * 56 and s[2].h == 3
+    assert G.preprocessed(df.limit(0), config, 1000, 4000).count() == 0
 
 
 def test_blank_filters(spark):
