@@ -25,15 +25,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusforge.llm.folding import coarse
-from corpusforge.runtime import cut, small
+from corpusforge.runtime import cut, slots, small
 
 #: Cosine that a pair needs: at one edit in ten characters 0.41 of the words stay whole, and the cosine of word pairs
 #: is about that share; it scatters by the square root of the number of words.
-COSINE, SCATTER, LEAST_COSINE = 0.4, 1.3, 0.05
+COSINE, SCATTER, LEAST_COSINE = 0.4, 1.3, 0.06
 #: Share of the threshold that the terms left out of the lists may reach.
-LEFT_OUT = 0.8
+LEFT_OUT = 0.5
 #: Word pairs a short text has at least, about: a word is paired with so many of the next ones.
-PAIRS = 45
+PAIRS = 36
 #: Texts of up to FEW words have their runs of GRAM letters as terms; at one edit in ten of 40 letters one run stays whole.
 FEW, GRAM = 4, 8
 #: Train texts in one block of an inverted list, at most about.
@@ -51,27 +51,24 @@ def image_key(path: Column) -> Column:
 
 
 def texts(df: DataFrame, least_chars: int) -> tuple[DataFrame, DataFrame]:
-    """(distinct texts (tid, text, train, held), entries (entry_id, split_name, tid)); tid is the smallest entry of a text."""
+    """(distinct texts (tid, text, train, held, words, runs), entries (entry_id, split_name, tid)); tid is the smallest entry of a text."""
     e = df.select("entry_id", "split_name", content(df).alias("text")).where((F.length("text") >= least_chars) & F.col("split_name").isNotNull())
     train = F.col("split_name") == "train"
-    t = cut(e.groupBy("text").agg(F.min("entry_id").alias("tid"), F.max(train).alias("train"), F.max(~train).alias("held")))
+    t = cut(_with_units(e.groupBy("text").agg(F.min("entry_id").alias("tid"), F.max(train).alias("train"), F.max(~train).alias("held"))))
     return t, e.join(t.select("text", "tid"), "text").select("entry_id", "split_name", "tid")
 
 
-def _units(t: DataFrame) -> DataFrame:
-    """(tid, text, train, held, n_words, unit): the words of each text in order, then its letter runs where words are few."""
-    w = t.withColumn("__c", coarse(F.col("text"))).withColumn("__w", F.filter(F.split("__c", " "), lambda x: x != ""))
-    n = F.size("__w")
+def _with_units(t: DataFrame) -> DataFrame:
+    """``t`` with the hashes of each text's words, in order, and of its letter runs where words are few."""
+    w = t.withColumn("__c", F.explode(F.array(coarse(F.col("text"))))).withColumn("words", F.filter(F.split("__c", " "), lambda x: x != ""))
     runs = F.transform(F.sequence(F.lit(1), F.length("__c") - GRAM + 1), lambda i: F.xxhash64(F.substring("__c", i, F.lit(GRAM)), F.lit("run")))
-    runs = F.when((n <= FEW) & (F.length("__c") >= GRAM), F.array_distinct(runs)).otherwise(F.array().cast("array<bigint>"))
-    unit = lambda h, at, word: F.struct(at.alias("at"), F.lit(word).alias("word"), h.alias("h"))
-    units = F.concat(F.transform("__w", lambda x, i: unit(F.xxhash64(x), i, True)), F.transform(runs, lambda h: unit(h, F.lit(-1), False)))
-    return w.select("tid", "text", "train", "held", n.alias("n_words"), F.explode(units).alias("u")).select("tid", "text", "train", "held", "n_words", "u.*")
+    runs = F.when((F.size("words") <= FEW) & (F.length("__c") >= GRAM), F.array_distinct(runs)).otherwise(F.array().cast("array<bigint>"))
+    return w.select(*t.columns, F.transform("words", lambda x: F.xxhash64(x)).alias("words"), runs.alias("runs"))
 
 
 def unit_counts(t: DataFrame) -> DataFrame:
     """(h, n, idf): words and letter runs that occur on both sides, and the distinct texts that hold them."""
-    u = _units(t).select("tid", "train", "held", "h").distinct()
+    u = t.select("train", "held", F.explode(F.array_distinct(F.concat("words", "runs"))).alias("h"))
     s = u.groupBy("h").agg(F.count_if("train").alias("n_train"), F.count_if("held").alias("n_held"), F.count("*").alias("n")).where("n_train > 0 and n_held > 0")
     return s.select("h", "n", F.log1p(F.lit(float(t.count())) / F.col("n")).alias("idf"))
 
@@ -81,18 +78,23 @@ def _sum(terms: Column, f) -> Column:
 
 
 def vectors(t: DataFrame, units: DataFrame) -> DataFrame:
-    """(tid, text, need, norm, terms ARRAY<STRUCT<w, term, most>>): terms from rare to frequent; ``most`` bounds the texts that hold one, ``need`` is the cosine asked for."""
-    gap = F.greatest(F.lit(1), F.ceil(F.lit(PAIRS) / F.col("n_words"))).cast("int")
-    v = _units(t).join(small(units), "h").groupBy("tid", "text", "n_words").agg(F.sort_array(F.collect_list(F.struct("word", "at", "h", "idf", "n"))).alias("u"))
-    v = v.select("tid", "text", "n_words", gap.alias("gap"), F.filter("u", lambda x: x["word"]).alias("ws"), F.filter("u", lambda x: ~x["word"]).alias("rs"))
+    """(tid, n, need, norm, terms ARRAY<STRUCT<w, term, most>>): terms from rare to frequent; ``most`` bounds the texts that hold one, ``n`` is the text's length, ``need`` the cosine asked for."""
+    n_words = F.size("words")
+    gap = F.greatest(F.lit(1), F.ceil(F.lit(PAIRS) / n_words)).cast("int")
+    need = F.greatest(F.lit(LEAST_COSINE), F.lit(COSINE) - F.lit(SCATTER) / F.sqrt(n_words))
+    # texts go to their place once: the words of one come back together there
+    u = t.repartition(slots(t.sparkSession), "tid").select("tid", F.length("text").alias("n_chars"), gap.alias("gap"), need.alias("need"), n_words.alias("n_words"), F.posexplode(F.concat("words", "runs")).alias("at", "h"))
+    v = u.join(small(units), "h").groupBy("tid", "n_chars", "gap", "need", "n_words").agg(F.sort_array(F.collect_list(F.struct("at", "h", "idf", "n"))).alias("u"))
+    v = v.select("*", F.filter("u", lambda x: x["at"] < F.col("n_words")).alias("ws"), F.filter("u", lambda x: x["at"] >= F.col("n_words")).alias("rs"))
     pair = lambda x, y: F.struct((x["idf"] + y["idf"]).alias("w"), F.xxhash64(x["h"], y["h"]).alias("term"), F.least(x["n"], y["n"]).alias("most"))
     after = lambda x, i: F.filter(F.slice("ws", i + 2, F.col("gap")), lambda y: y["at"] - x["at"] <= F.col("gap"))
     pairs = F.flatten(F.transform("ws", lambda x, i: F.transform(after(x, i), lambda y: pair(x, y))))
     single = F.transform("rs", lambda x: F.struct(x["idf"].alias("w"), x["h"].alias("term"), x["n"].alias("most")))
-    terms = F.sort_array(F.array_distinct(F.concat(pairs, single)), asc=False)
-    need = F.greatest(F.lit(LEAST_COSINE), F.lit(COSINE) - F.lit(SCATTER) / F.sqrt("n_words"))
-    v = v.select("tid", "text", need.alias("need"), F.explode(F.array(terms)).alias("terms")).where(F.size("terms") > 0)  # the generator keeps it computed once
-    return v.select("tid", "text", "need", F.explode(F.array(F.sqrt(_sum(F.col("terms"), lambda x: x["w"] * x["w"])))).alias("norm"), "terms")
+    terms = F.sort_array(F.concat(pairs, single), asc=False)
+    v = v.select("tid", F.col("n_chars").alias("n"), "need", F.explode(F.array(terms)).alias("all")).where(F.size("all") > 0)  # the generator keeps it computed once
+    once = F.filter("all", lambda x, i: (i == 0) | (x["term"] != F.get("all", i - 1)["term"]))
+    v = v.select("tid", "n", "need", F.explode(F.array(once)).alias("terms"))
+    return v.select("tid", "n", "need", F.explode(F.array(F.sqrt(_sum(F.col("terms"), lambda x: x["w"] * x["w"])))).alias("norm"), "terms")
 
 
 def _class(n: Column) -> Column:
@@ -107,7 +109,6 @@ def _classes(n: Column, ratio: float) -> Column:
 
 def _listed(v: DataFrame, greatest: DataFrame | None = None) -> DataFrame:
     """(tid, n, need, rest, w, term, most): the terms of each vector that go into the lists, and what the others can add to a cosine."""
-    v = v.withColumn("n", F.length("text"))
     if greatest is None:
         cap = F.lit(float("inf"))
     else:
@@ -122,16 +123,17 @@ def _listed(v: DataFrame, greatest: DataFrame | None = None) -> DataFrame:
 
     v = v.select("*", F.explode(F.array(F.aggregate(F.reverse("terms"), zero, step))).alias("cut"))
     kept = v.select("tid", "n", "need", "norm", bound(F.col("cut.kept_out")).alias("rest"), F.explode(F.slice("terms", F.lit(1), F.size("terms") - F.col("cut.out"))).alias("x"))
-    return kept.select("tid", "n", "need", "rest", (F.col("x.w") / F.col("norm")).alias("w"), "x.term", "x.most")
+    return kept.select("tid", "n", F.col("need").cast("float").alias("need"), F.col("rest").cast("float").alias("rest"), (F.col("x.w") / F.col("norm")).cast("float").alias("w"), "x.term", "x.most")
 
 
 def similar_texts(t: DataFrame, length_ratio: float = 0.9) -> DataFrame:
     """(a, b, cosine, ta, tb): texts of the train and the held-out side whose cosine reaches the threshold."""
+    t = t if "words" in t.columns else _with_units(t)
     units = cut(unit_counts(t))
-    train, held = vectors(t.where("train"), units), vectors(t.where("held"), units)
+    train, held = vectors(t.where("train"), units), cut(vectors(t.where("held"), units))
     # a weight w of a held-out vector is w / norm: the least norm of a class bounds them all
-    near = held.select(F.explode(_classes(F.length("text"), length_ratio)).alias("cls"), (1 / F.col("norm")).alias("i"))
-    greatest = cut(near.groupBy("cls").agg(F.max("i").alias("inverse_norm")))
+    near = held.select(F.explode(_classes(F.col("n"), length_ratio)).alias("cls"), (1 / F.col("norm")).alias("i"))
+    greatest = near.groupBy("cls").agg(F.max("i").alias("inverse_norm"))
     blocks = F.ceil(F.col("most") / LIST_BLOCK).cast("int")
     a = _listed(train, greatest).select(F.col("tid").alias("a"), F.col("n").alias("na"), F.col("need").alias("ta"), F.col("rest").alias("ra"), F.col("w").alias("wa"), "term", _class(F.col("n")).alias("cls"), F.pmod(F.xxhash64("tid"), blocks).cast("int").alias("block"))
     b = _listed(held).select(F.col("tid").alias("b"), F.col("n").alias("nb"), F.col("need").alias("tb"), F.col("rest").alias("rb"), F.col("w").alias("wb"), "term", F.explode(_classes(F.col("n"), length_ratio)).alias("cls"), blocks.alias("blocks"))
@@ -139,12 +141,13 @@ def similar_texts(t: DataFrame, length_ratio: float = 0.9) -> DataFrame:
     key = lambda d: d.withColumn("key", F.xxhash64("term", "cls", "block")).drop("term", "cls", "block")
     fits = (F.col("na") >= F.floor(F.col("nb") * length_ratio)) & (F.col("nb") >= F.floor(F.col("na") * length_ratio)) & (F.col("a") != F.col("b"))
     pairs = key(a).join(key(b), "key").where(fits).groupBy("a", "b").agg(
-        F.sum(F.col("wa") * F.col("wb")).alias("part"), F.max(F.greatest("ra", "rb")).alias("rest"), F.min(F.least("ta", "tb")).alias("need")
+        F.sum(F.col("wa").cast("double") * F.col("wb")).alias("part"), F.max(F.greatest("ra", "rb")).alias("rest"), F.min(F.least("ta", "tb")).alias("need")
     )
-    pairs = cut(pairs.where("part + rest >= need").select("a", "b", "need"))
+    pairs = cut(pairs.where("part + rest >= need - 1e-5").select("a", "b", "need"))
+    # the whole vectors of what is left, and their exact products
     some = pairs.select(F.col("a").alias("tid")).union(pairs.select(F.col("b").alias("tid"))).distinct()
-    whole = vectors(t.join(small(some), "tid", "left_semi"), units).select("tid", "text", "norm", "terms")
-    whole = cut(whole)
+    of = cut(t.join(small(some), "tid", "left_semi"))
+    whole = cut(vectors(of, units).select("tid", "norm", "terms").join(of.select("tid", "text"), "tid"))
     side = lambda x: whole.select(*[F.col(c).alias(f"{c}_{x}") for c in whole.columns]).withColumnRenamed(f"tid_{x}", x)
     dot = _sum(F.array_intersect("terms_a", "terms_b"), lambda x: x["w"] * x["w"])
     both = pairs.join(side("a"), "a").join(side("b"), "b").withColumn("cosine", dot / (F.col("norm_a") * F.col("norm_b")))
