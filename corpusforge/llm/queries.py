@@ -85,6 +85,10 @@ def p5_report(spark, d):
     return s.join(F.broadcast(spark.createDataFrame(list(TARGETS.items()), "split string, target double")), "split")
 
 
+def p6_method(spark, d):
+    return truncation.by_trigrams(table(spark, d, "eval_results"))
+
+
 def p6_found(spark, d):
     return truncation.truncated(table(spark, d, "eval_results")).select("result_id")
 
@@ -130,11 +134,20 @@ QUERIES = {
     f.__name__: f
     for f in (
         p1_found, p1_segments, p2_found, p2_normalised, p3_found, p3_report, p3_mix, p4_method, p4_found, p4_restored, p5_found, p5_splits, p5_report,
-        p6_found, p6_rates, p7_found, p7_counts, p8_sequences, p8_fills, p9_found, p9_clean, p10_found, p10_pieces,
+        p6_method, p6_found, p6_rates, p7_found, p7_counts, p8_sequences, p8_fills, p9_found, p9_clean, p10_found, p10_pieces,
     )
 }
 
+_REFERENCE = "coalesce(nullif(trim(messages[2].content), ''), nullif(trim(label), ''))"
+_TRIGRAM = "list_concat(['^', '^'], list_filter(regexp_split_to_array(lower({}), ' +'), lambda w: w <> ''))"
+
 SQL = {
+    "p6_method": f"""
+        with t as (select distinct {_TRIGRAM.format(_REFERENCE)} as w from eval_results where {_REFERENCE} is not null),
+        g as (select unnest(list_transform(generate_series(3, len(w)), lambda i: {{'k': w[i - 2:i], 'inside': i < len(w)}})) as g from t),
+        c as (select g.k as k, count(*) filter (where g.inside) as inside, count(*) filter (where not g.inside) as at_end from g group by g.k),
+        a as (select result_id, {_TRIGRAM.format('answer')} as w from eval_results where answer is not null)
+        select result_id, inside, at_end from a join c on c.k = w[-3:] where len(w) > 2 and inside >= 1 and at_end <= 0.02 * (inside + at_end)""",
     "p3_found": r"""
         with own as (select source, sum(length(text))::double as c from manifest where regexp_matches(text, '[^\s\p{Z}]') group by source),
         t as (select m.source, m.target_share, m.max_repeats, coalesce(o.c, 0) as c from mix_targets m left join own o on o.source = m.source)

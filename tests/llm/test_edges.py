@@ -1,5 +1,7 @@
 """Nulls, empty and long texts, ties, repeated rows, empty tables and clashing extra columns, for every operator."""
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -98,3 +100,29 @@ def test_truncation(spark):
     assert truncation.truncated(df.limit(0)).collect() == []
     r = truncation.rates(df.dropDuplicates(["result_id"])).collect()
     assert [(x.source, x.answers, x.truncated) for x in r] == [(None, 10, 4)]
+
+
+def test_trigrams_alone(spark):
+    """The named method of problem 6 against brute force."""
+    from corpusforge.llm import truncation
+
+    refs = ["nämä olivat talossa kun laiva tuli", "kun laiva tuli satamaan ja lähti", "nämä olivat talossa", "kun laiva tuli"]
+    answers = ["nämä olivat talossa", "kun laiva tuli", "laiva tuli satamaan", "NÄMÄ olivat", "muuta", "", None, "kun laiva tuli satamaan ja lähti"]
+    df = spark.createDataFrame([(i, [("user", "x"), ("assistant", refs[i % 4])], a, None) for i, a in enumerate(answers)], "result_id bigint, messages array<struct<role:string,content:string>>, answer string, label string")
+    w = lambda t: ["^", "^", *t.lower().split()]
+    inside, ends = {}, {}
+    for r in refs:
+        x = w(r)
+        for i in range(2, len(x)):
+            (inside if i < len(x) - 1 else ends).setdefault(tuple(x[i - 2 : i + 1]), []).append(r)
+    count = lambda d, k: len(d.get(k, []))
+    want = {}
+    for i, a in enumerate(answers):
+        k = tuple(w(a or "")[-3:])
+        if a and count(inside, k) >= 1 and count(ends, k) <= 0.02 * (count(inside, k) + count(ends, k)):
+            want[i] = (count(inside, k), count(ends, k))
+    assert {r.result_id: (r.inside, r.at_end) for r in truncation.by_trigrams(df).collect()} == want and set(want) == {2, 3}
+    far = "alku " + " ".join("".join(random.Random(i).choices("aeioukstlnrmpvhj", k=6)) for i in range(60))
+    noisy = far[:100] + "".join("x" if i % 5 == 0 else c for i, c in enumerate(far[100:300]))
+    one = spark.createDataFrame([(1, [("user", "x"), ("assistant", far)], noisy, None), (2, [("user", "x"), ("assistant", far)], far[:100], None)], df.schema)
+    assert {r.result_id for r in truncation.truncated(one).collect()} == {1, 2}  # anchors are tried as far back as the answer goes
