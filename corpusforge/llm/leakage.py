@@ -7,8 +7,10 @@ item position) are verified letter by letter along that diagonal, with drift for
 word counts when half of its letters lie in runs that agree, or its edit distance is small. An item leaked if
 enough of its words in a row count; every such run is a span to cut, as a document may hold several of one item.
 
-The hash set is built for blocks of ``ITEM_BLOCK`` items, each a scan of its own, so its size is bounded.
-Defined results: null or empty texts hold and leak nothing; repeated rows are reported once; ties don't arise.
+The hash set is built and broadcast for blocks of about ``ITEM_BLOCK`` items, each a scan of its own, so its size
+and what the driver holds at once are bounded.
+Defined results: null or empty texts hold and leak nothing; repeated rows are reported once; of several longest
+runs the first in the document stands for a pair.
 """
 
 from __future__ import annotations
@@ -102,8 +104,9 @@ class Items:
         self.grams = g[order]
         self.owner = np.concatenate(owner)[order] if grams else np.zeros(0, np.int32)
         self.place = np.concatenate(place)[order] if grams else np.zeros(0, np.int32)
-        self.bits = np.zeros(1 << 22, bool)
-        self.bits[(self.grams & np.uint64((1 << 22) - 1)).astype(np.int64)] = True
+        self.mask = np.uint64((1 << max(16, (16 * len(self.grams)).bit_length())) - 1)  # sixteen places a gram at least
+        self.bits = np.zeros(int(self.mask) + 1, bool)
+        self.bits[(self.grams & self.mask).astype(np.int64)] = True
 
     @lru_cache(maxsize=8)
     def shortest(self, words: int) -> np.ndarray:
@@ -112,7 +115,7 @@ class Items:
 
     def hits(self, h: np.ndarray) -> np.ndarray:
         """Places in ``h`` whose hash is in the set."""
-        maybe = np.flatnonzero(self.bits[(h & np.uint64((1 << 22) - 1)).astype(np.int64)])
+        maybe = np.flatnonzero(self.bits[(h & self.mask).astype(np.int64)])
         if not len(maybe) or not len(self.grams):
             return maybe[:0]
         k = np.minimum(np.searchsorted(self.grams, h[maybe]), len(self.grams) - 1)
@@ -243,23 +246,27 @@ def leaks_in(texts: list[str], items: Items, letters: Letters, least_words: int)
 
 def passages(docs: DataFrame, items: DataFrame, least_words: int = 12) -> DataFrame:
     """(doc_id, item_id, words, start, end): every run of at least ``least_words`` consecutive words of an item in a document."""
-    rows = sorted({(r[0], r[1]) for r in items.where(F.length("text") > 0).select("item_id", "text").toLocalIterator()})
+    some = items.where(F.length("text") > 0).select("item_id", "text").distinct()
+    n = max(1, -(-some.count() // ITEM_BLOCK))
     out = None
-    for k in range(0, max(1, len(rows)), ITEM_BLOCK):
-        part = docs.where(F.length("text") >= GRAM).select("doc_id", "text").mapInPandas(_scan(rows[k : k + ITEM_BLOCK], least_words), "doc_id bigint, item_id bigint, words int, start int, end int")
+    for k in range(n):
+        rows = sorted((r[0], r[1]) for r in some.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == k).collect())  # one block
+        block = docs.sparkSession.sparkContext.broadcast(rows)
+        part = docs.where(F.length("text") >= GRAM).select("doc_id", "text").mapInPandas(_scan(block, least_words), "doc_id bigint, item_id bigint, words int, start int, end int")
         out = part if out is None else out.unionByName(part)
     return out
 
 
 def leaks(docs: DataFrame, items: DataFrame, least_words: int = 12) -> DataFrame:
     """(doc_id, item_id, words, start, end): documents that hold ``least_words`` consecutive words of an item, with the longest run."""
-    return passages(docs, items, least_words).groupBy("doc_id", "item_id").agg(F.max("words").alias("words"), F.max_by("start", "words").alias("start"), F.max_by("end", "words").alias("end"))
+    longest = F.max(F.struct("words", (-F.col("start")).alias("s"), "end")).alias("x")
+    return passages(docs, items, least_words).groupBy("doc_id", "item_id").agg(longest).select("doc_id", "item_id", "x.words", (-F.col("x.s")).alias("start"), "x.end")
 
 
-def _scan(rows: list[tuple[int, str]], least_words: int):
+def _scan(block, least_words: int):
     def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         letters = Letters()
-        items = Items(rows, letters)
+        items = Items(block.value, letters)
         for b in batches:
             ids, texts, out = b["doc_id"].tolist(), b["text"].tolist(), []
             at = 0
