@@ -38,10 +38,12 @@ NGRAMS = (1, 2, 3, 4)
 SHARPNESS = 3.0
 #: Loss that a change of language inside a text must save.
 CHANGE = 5.0
-#: Letters a segment needs to count as a language of the text.
+#: Letters a segment needs to count as a language of the text; shorter stretches (names, quoted words) go to their neighbour.
 LEAST_LETTERS = 30
-#: Loss a word by which the best language must lead, else the segment is ambiguous.
+#: Loss a whole word by which the best language must lead, else the segment is ambiguous.
 LEAST_LEAD = 0.5
+#: Scale of the losses a word in the confidence.
+CERTAINTY = 2.0
 KNOWN_WORDS = 400_000
 
 _WORD = re.compile(r"[^\W\d_]+(?:['’][^\W\d_]+)?")
@@ -90,7 +92,7 @@ def words_of(text: str) -> list[str]:
     """Words of ``text`` in one form and lower case; garbled and look-alike characters are put right first."""
     if _ODD.search(text):
         return [w for _, _, w in _odd_words(text)]
-    return _WORD.findall(text.casefold())
+    return "\n".join(_WORD.findall(text)).casefold().split("\n") if _WORD.search(text) else []
 
 
 def _odd_words(text: str) -> list[tuple[int, int, str]]:
@@ -117,8 +119,8 @@ def places_of(text: str) -> list[tuple[int, int]]:
 class Model:
     """Codewords and the binary classifiers' weights: one row a hashed n-gram, one column a bit."""
 
-    def __init__(self, weights: np.ndarray, codes: np.ndarray) -> None:
-        self.weights, self.codes = weights, codes
+    def __init__(self, weights: np.ndarray, codes: np.ndarray, least_letters: int = LEAST_LETTERS) -> None:
+        self.weights, self.codes, self.least_letters = weights, codes, least_letters
         self.known: dict[str, int] = {}
         self.losses = np.zeros((1024, len(codes)), np.float32)
 
@@ -190,9 +192,10 @@ class Model:
             path[at] = state[who]
             if step:
                 state[who] = back[at, state[who]]
-        return [self._cut(texts[i], parts[i], path[first[i] : first[i + 1]], loss[first[i] : first[i + 1]]) for i in range(len(texts))]
+        spans = [slice(first[i], first[i + 1]) for i in range(len(texts))]
+        return [self._cut(texts[i], parts[i], path[s], loss[s], weight[s]) for i, s in enumerate(spans)]
 
-    def _cut(self, text, words, path, loss) -> list[tuple[int, int, int, float, bool]]:
+    def _cut(self, text, words, path, loss, weight) -> list[tuple[int, int, int, float, bool]]:
         if not words:
             return []
         edges = np.flatnonzero(path[1:] != path[:-1]) + 1
@@ -201,7 +204,7 @@ class Model:
         else:  # runs too short to tell a language go to their neighbours
             edges = [0, *edges.tolist(), len(words)]
             runs = [(int(path[a]), a, b) for a, b in zip(edges[:-1], edges[1:])]
-            big = [r for r in runs if sum(map(len, words[r[1] : r[2]])) >= LEAST_LETTERS] or [max(runs, key=lambda r: r[2] - r[1])]
+            big = [r for r in runs if sum(map(len, words[r[1] : r[2]])) >= self.least_letters] or [max(runs, key=lambda r: r[2] - r[1])]
             runs = []
             for lang, a, b in big:
                 if runs and runs[-1][0] == lang:
@@ -212,12 +215,11 @@ class Model:
         places = places_of(text) if len(runs) > 1 else None
         out = []
         for lang, a, b in runs:
-            total = loss[a:b].sum(axis=0)
-            here = total[lang]
-            total[lang] = np.inf
-            lead = float(total.min() - here)
-            start, end = (places[a][0], places[b - 1][1]) if places and b <= len(places) else (0, len(text))
-            out.append((lang, start, end, float(1 / (1 + np.exp(-min(lead, 50.0)))), lead < LEAST_LEAD * (b - a)))
+            mean = loss[a:b].sum(axis=0) / weight[a:b].sum()  # a whole word's, so that length alone makes nothing certain
+            odds = np.exp(-CERTAINTY * (mean - mean[lang]))
+            lead = float(np.delete(mean, lang).min() - mean[lang])
+            start, end = (places[a][0], places[b - 1][1]) if places else (0, len(text))
+            out.append((lang, start, end, float(1 / odds.sum()), lead < LEAST_LEAD))
         return out
 
 
@@ -236,15 +238,18 @@ def declared(label: Column) -> Column:
 _SEGMENT = "array<struct<lang string, start int, end int, confidence double, ambiguous boolean>>"
 
 
-def identify(records: DataFrame, samples: DataFrame, text: str = "text") -> DataFrame:
-    """``records`` with ``segments``: the stretches of each text in one language, in order."""
+def identify(records: DataFrame, samples: DataFrame, text: str = "text", least_letters: int = LEAST_LETTERS) -> DataFrame:
+    """``records`` with ``segments``: the stretches of each text in one language, in order, of ``least_letters`` letters at least.
+
+    The confidence is the share of the language in the odds of all, by the mean loss of a word.
+    """
     spark = records.sparkSession
     model = train(spark, samples)
     weights, codes = spark.sparkContext.broadcast(model.weights), model.codes  # 2^17 rows of 15 numbers, whatever the data
 
     @F.pandas_udf(_SEGMENT)
     def segments(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        m = Model(weights.value, codes)
+        m = Model(weights.value, codes, least_letters)
         for texts in batches:
             out = []
             values = texts.fillna("").tolist()
