@@ -15,7 +15,7 @@ import heapq
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusforge.llm.tokens import counter, vocabulary_path
@@ -79,10 +79,16 @@ def _packed(capacity: int):
 _ITEM = "doc_id bigint, part int, size int, h bigint, block bigint, sequence string, fill bigint"
 
 
+def cost(tokens: Column, quadratic: float = QUADRATIC) -> Column:
+    """Attention cost of an item."""
+    return tokens + F.lit(quadratic) * tokens * tokens
+
+
 def packed(docs: DataFrame, capacity: int = 2048, path: str | None = None) -> DataFrame:
-    """(doc_id, part, tokens, sequence, fill): the sequence of every item and the tokens that sequence holds.
+    """(doc_id, part, first_token, tokens, sequence, fill): the sequence of every item and the tokens that sequence holds.
 
-    ``part`` numbers the pieces of a document above ``capacity``; it is 1 for others.
+    ``part`` numbers the pieces of a document above ``capacity``, which begin at ``first_token`` of its tokens; it is 1
+    for others.
     """
     sized = cut(token_counts(docs, path))
     n = F.col("n_tokens")
@@ -93,10 +99,10 @@ def packed(docs: DataFrame, capacity: int = 2048, path: str | None = None) -> Da
     full, rest = items.where(F.col("size") == capacity), items.where(F.col("size") < capacity)
     full = full.withColumn("sequence", F.concat_ws("-", F.lit("w"), "doc_id", "part")).withColumn("fill", F.col("size").cast("bigint"))
     rest = rest.withColumn("block", F.pmod("h", F.lit(blocks))).groupBy("block").applyInPandas(_packed(capacity), _ITEM)
-    cols = ["doc_id", "part", F.col("size").alias("tokens"), "sequence", "fill"]
+    cols = ["doc_id", "part", ((F.col("part") - 1) * capacity).alias("first_token"), F.col("size").alias("tokens"), "sequence", "fill"]
     return full.select(cols).unionByName(rest.select(cols))
 
 
 def fills(packed_items: DataFrame) -> DataFrame:
-    """(sequence, items, fill) of each sequence."""
-    return packed_items.groupBy("sequence").agg(F.count("*").alias("items"), F.sum("tokens").alias("fill"))
+    """(sequence, items, fill, cost) of each sequence."""
+    return packed_items.groupBy("sequence").agg(F.count("*").alias("items"), F.sum("tokens").alias("fill"), F.sum(cost(F.col("tokens"))).alias("cost"))
