@@ -15,6 +15,8 @@ manifest gives an empty mix; other columns are ignored.
 
 from __future__ import annotations
 
+import zlib
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -69,11 +71,11 @@ def land(p: np.ndarray, size: np.ndarray) -> np.ndarray:
     return p
 
 
-def _flight(last: bool):
+def _flight(last: bool, seed: str):
     def run(g: pd.DataFrame) -> pd.DataFrame:
         g = g.sort_values(["h", "rec_id", "n_chars"], kind="stable")
         size = g["n_chars"].to_numpy()
-        p = fly(g["p"].to_numpy(), size, int(g["block"].iloc[0]) + 1)
+        p = fly(g["p"].to_numpy(), size, zlib.crc32(f"{g['source'].iloc[0]}|{g['block'].iloc[0]}|{seed}".encode()))
         return g.assign(p=land(p, size) if last else p)
 
     return run
@@ -103,16 +105,16 @@ def mix(manifest: DataFrame, targets: DataFrame, total: float | None = None, see
         "source", "rec_id", "n_chars", F.floor("copies_each").alias("whole"), (F.col("copies_each") - F.floor("copies_each")).alias("p"),
         h.alias("h"), F.pmod(h, F.col("blocks")).alias("block"),
     )
-    flown = cut(u.groupBy("source", "block").applyInPandas(_flight(False), _UNIT))
+    flown = cut(u.groupBy("source", "block").applyInPandas(_flight(False, seed), _UNIT))
     open_ = F.col("p").between(EPS, 1 - EPS)
     done, rest = [flown.where(~open_)], flown.where(open_)
     blocks = plan.agg(F.max(F.ceil(F.col("n_records") / BLOCK_ROWS))).first()[0] or 1
     while blocks > BLOCK_ROWS // 2:  # only sources of hundreds of millions of records have so many blocks
         blocks = -(-blocks // 64)
-        rest = cut(rest.withColumn("block", F.floor(F.col("block") / 64)).groupBy("source", "block").applyInPandas(_flight(False), _UNIT))
+        rest = cut(rest.withColumn("block", F.floor(F.col("block") / 64)).groupBy("source", "block").applyInPandas(_flight(False, seed), _UNIT))
         done.append(rest.where(~open_))
         rest = rest.where(open_)
-    done.append(rest.groupBy("source").applyInPandas(_flight(True), _UNIT))
+    done.append(rest.groupBy("source").applyInPandas(_flight(True, seed), _UNIT))
     all_ = done[0]
     for d in done[1:]:
         all_ = all_.unionByName(d)

@@ -22,8 +22,8 @@ from pyspark.sql.types import IntegerType, StringType
 
 from corpusforge.llm.chars import CYRILLIC_LETTERS, LATIN_LETTERS, LOOK_ALIKES, TYPOGRAPHY
 
-# Unicode's default-ignorable code points below the supplementary planes, and the tag and variation blocks.
-IGNORABLE = "­͏؜ᅟᅠ឴឵᠋-᠏​-‏‪-‮⁠-⁯ㅤ︀-️﻿ﾠ￰-￸\U000e0000-\U000e0fff"
+# Unicode's default-ignorable code points.
+IGNORABLE = "­͏؜ᅟᅠ឴឵᠋-᠏​-‏‪-‮⁠-⁯ㅤ︀-️﻿ﾠ￰-￸\U000e0000-\U000e0fff\U0001bca0-\U0001bca3\U0001d173-\U0001d17a"
 SPACES = "\u0085   -     　"
 
 #: Kinds of deviation, as bits.
@@ -111,8 +111,8 @@ def _deviation(values: pd.Series) -> pd.Series:
 
 
 def normalise(text: Column) -> Column:
-    """Column of normal forms."""
-    return _normalise(text)
+    """Column of normal forms; an ASCII value has only its case to fold and stays in the JVM."""
+    return F.coalesce(_normalise(F.when(text.rlike(r"[^\x00-\x7F]"), text)), F.lower(text))
 
 
 def deviating(df: DataFrame, id_col: str, text: str) -> DataFrame:

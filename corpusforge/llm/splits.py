@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from corpusforge.runtime import cut, slots
+from corpusforge.runtime import cut, slots, small
 
 #: Edges kept in one local forest before it is emitted; bounds a Python worker's memory.
 FOREST_EDGES = 400_000
@@ -84,7 +84,8 @@ def components(edges: DataFrame, max_levels: int = 60) -> DataFrame:
     """(rec, component) of every ``rec`` in ``edges(node STRING, rec BIGINT)``; component is the smallest rec.
 
     Level 0 makes local forests where the rows lie. At each further level the roots seen under one node are
-    merged, on half as many partitions as before; a node whose roots all agree is done and leaves the data.
+    merged, on half as many partitions as before, but never fewer than the open edges need; a node whose roots
+    all agree is done and leaves the data.
     """
     width = slots(edges.sparkSession)
     forest = cut(edges.select("node", F.col("rec").alias("root")).mapInPandas(_local, _FOREST))
@@ -95,7 +96,7 @@ def components(edges: DataFrame, max_levels: int = 60) -> DataFrame:
         if not n:
             return labels
         if level:
-            width = 1 if n <= LAST_LEVEL_EDGES else max(2, width // 2)
+            width = max(-(-n // LAST_LEVEL_EDGES), width // 2 if n > LAST_LEVEL_EDGES else 1)
         forest = cut(open_.repartition(width, "node").mapInPandas(_local, _FOREST))
         labels = labels.join(_labels(forest, "component", "better"), "component", "left").select("rec", F.coalesce("better", "component").alias("component"))
     raise RuntimeError("components did not settle")
@@ -168,7 +169,7 @@ def assign_splits(groups: DataFrame, targets: dict[str, float], seed: str = "0")
     offs = offs.withColumn("off", F.sum("k").over(Window.partitionBy("n").orderBy("b")) - F.col("k")).drop("k")
     ranked = sized.withColumn("i", F.row_number().over(Window.partitionBy("n", "b").orderBy(F.xxhash64(F.lit(seed), "group_id"), "group_id")) - 1)
     ranked = ranked.join(offs, ["n", "b"]).withColumn("i", F.col("i") + F.col("off"))
-    return ranked.join(F.broadcast(r), "n").where("i >= lo and i < hi").select("group_id", "n", "split")
+    return ranked.join(small(r), "n").where("i >= lo and i < hi").select("group_id", "n", "split")
 
 
 def item_number(file_name: Column) -> Column:
