@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType
 
 #: White space of every kind, in a class that Java's and RE2's regular expressions share.
 WS = r"[\t-\r\x1C-\x1F\x{85}\p{Z}]"
@@ -29,13 +32,13 @@ def ned(pred: Column, ref: Column) -> Column:
     return F.coalesce(F.levenshtein(pred, ref) / F.nullif(F.greatest(F.length(pred), F.length(ref)), F.lit(0)), F.lit(0.0))
 
 
-def _error_rate(distance: Column, n_pred: Column, n_ref: Column) -> Column:
+def error_rate(distance: Column, n_pred: Column, n_ref: Column) -> Column:
     return F.when(n_ref == 0, F.when(n_pred == 0, 0.0).otherwise(1.0)).otherwise(distance / n_ref)
 
 
 def cer(pred: Column, ref: Column) -> Column:
     """Edit distance over the reference length; an empty reference gives 0 or 1."""
-    return _error_rate(F.levenshtein(pred, ref), F.length(pred), F.length(ref))
+    return error_rate(F.levenshtein(pred, ref), F.length(pred), F.length(ref))
 
 
 def let(value: Column, body) -> Column:
@@ -43,26 +46,38 @@ def let(value: Column, body) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
-def word_distance(a: Column, b: Column) -> Column:
-    """Edit distance of two word lists.
-
-    Each distinct word of the pair becomes one character from U+4E00 on, so the built-in edit distance of
-    strings does the work; pairs of up to 35,327 distinct words fit below the surrogates.
-    """
-
-    def of(p: Column) -> Column:
-        def with_vocabulary(v: Column) -> Column:
-            sign = lambda w: F.decode(F.unhex(F.lpad(F.hex(F.array_position(v, w) + 19967), 4, "0")), "UTF-16BE")
-            return F.levenshtein(F.array_join(F.transform(p["a"], sign), ""), F.array_join(F.transform(p["b"], sign), ""))
-
-        return let(F.array_distinct(F.concat(p["a"], p["b"])), with_vocabulary)
-
-    return let(F.struct(a.alias("a"), b.alias("b")), of)
+def edit_distance(a: list, b: list) -> int:
+    """Fewest insertions, losses and changes that turn one list into another; a row of the table at a time."""
+    lo = 0
+    while lo < min(len(a), len(b)) and a[lo] == b[lo]:
+        lo += 1
+    while len(a) > lo and len(b) > lo and a[-1] == b[-1]:
+        a, b = a[:-1], b[:-1]
+    a, b = sorted((a[lo:], b[lo:]), key=len)
+    if not a:
+        return len(b)
+    known: dict = {}
+    x, y = ([known.setdefault(w, len(known)) for w in s] for s in (a, b))
+    y, step = np.array(y), np.arange(len(b) + 1)
+    row = step.copy()
+    for i, v in enumerate(x):
+        new = np.empty_like(row)
+        new[0] = i + 1
+        new[1:] = np.minimum(row[:-1] + (y != v), row[1:] + 1)
+        row = np.minimum.accumulate(new - step) + step  # a run of insertions from the best place to the left
+    return int(row[-1])
+
+
+@F.pandas_udf(IntegerType())
+def word_distance(pairs: pd.DataFrame) -> pd.Series:
+    """Edit distance of the word lists ``a`` and ``b`` of a struct, of any length."""
+    return pd.Series([None if p is None or q is None else edit_distance(list(p), list(q)) for p, q in zip(pairs["a"], pairs["b"])], dtype="Int32")
 
 
 def wer(pred: Column, ref: Column) -> Column:
     """Edit distance in words over the reference's words; an empty reference gives 0 or 1."""
-    return let(F.struct(words(pred).alias("a"), words(ref).alias("b")), lambda p: _error_rate(word_distance(p["a"], p["b"]), F.size(p["a"]), F.size(p["b"])))
+    a, b = words(pred), words(ref)
+    return error_rate(word_distance(F.struct(a.alias("a"), b.alias("b"))), F.size(a), F.size(b))
 
 
 def unit_hash(x: Column) -> Column:

@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusforge.functions import text as T
+from corpusforge.operators.ranking import interpolated_percentiles
+from corpusforge.runtime import cut
 
 INF = float("inf")
 # Bucket edges of the reports; a bucket holds lo <= x < hi.
@@ -31,7 +33,12 @@ def scored(df: DataFrame, metrics: tuple[str, ...] = ("ned", "cer", "wer")) -> D
     rate = F.when(F.length(r) == 0, F.when(F.length(p) == 0, 0.0).otherwise(1.0)).otherwise(F.col("__d") / F.length(r))
     made = {"ned": F.coalesce(F.col("__d") / longest, F.lit(0.0)), "cer": rate}
     d = d.withColumns({m: made[m] for m in metrics if m in made} | {"exact": (T.strip(p) == T.strip(r)).cast("int")}).drop("__d")
-    return d.select("*", F.explode(F.array(F.when((p == r) & (r != ""), 0.0).otherwise(T.wer(p, r)))).alias("wer")) if "wer" in metrics else d
+    if "wer" not in metrics:
+        return d
+    # equal texts have no distance; only the others are sent to Python
+    differ = F.when(p != r, F.struct(T.words(p).alias("a"), T.words(r).alias("b")))
+    d = d.select("*", F.size(T.words(p)).alias("__a"), F.size(T.words(r)).alias("__b"), T.word_distance(differ).alias("__w"))
+    return d.withColumn("wer", T.error_rate(F.coalesce("__w", F.lit(0)), F.col("__a"), F.col("__b"))).drop("__a", "__b", "__w")
 
 
 def summary(s: DataFrame, metric: str, by: list[str] | None = None) -> DataFrame:
@@ -40,9 +47,9 @@ def summary(s: DataFrame, metric: str, by: list[str] | None = None) -> DataFrame
 
 
 def percentiles(s: DataFrame, metric: str, by: list[str] | None = None) -> DataFrame:
-    """Interpolated percentiles; exact, by sorting on the way (Catalyst's percentile keeps a value histogram)."""
-    p = s.groupBy(*(by or [])).agg(F.percentile(metric, F.array(*[F.lit(x / 100) for x in PERCENTILES])).alias("p"))
-    return p.select(*(by or []), *[F.coalesce(F.get("p", F.lit(i)), F.lit(0.0)).alias(f"p{x}") for i, x in enumerate(PERCENTILES)])
+    """Interpolated percentiles, exact, from a histogram in slices; 0 where there are no rows."""
+    p = interpolated_percentiles(s, by or [], metric, PERCENTILES)
+    return p.select(*(by or []), *[F.coalesce(f"p{x}", F.lit(0.0)).alias(f"p{x}") for x in PERCENTILES])
 
 
 def bucket_of(x: Column, edges: list[float]) -> Column:
@@ -68,8 +75,12 @@ def by_source(s: DataFrame) -> DataFrame:
 
 def with_combined(s: DataFrame, by: str, metric: str) -> DataFrame:
     """One row per group and, with more than one group, one for all."""
-    r = s.rollup(by).agg(F.grouping(by).alias("is_total"), F.count("*").alias("n"), F.avg(metric).alias("mean"), F.percentile(metric, 0.9).alias("p90"))
-    return r.select(F.when(F.col("is_total") == 1, "COMBINED").otherwise(F.col(by)).alias(by), "n", "mean", "p90")
+    each = s.select(F.explode(F.array(F.struct(F.lit(0).alias("is_total"), F.col(by).alias("g")), F.struct(F.lit(1).alias("is_total"), F.lit(None).cast(s.schema[by].dataType).alias("g")))).alias("x"), metric)
+    each = cut(each.select("x.*", metric))
+    r = each.groupBy("is_total", "g").agg(F.count("*").alias("n"), F.avg(metric).alias("mean"))
+    p = interpolated_percentiles(each, ["is_total", "g"], metric, [90]).select(F.col("is_total").alias("__i"), F.col("g").alias("__g"), "p90")
+    r = r.join(p, (F.col("is_total") == F.col("__i")) & F.col("g").eqNullSafe(F.col("__g")), "left")
+    return r.select(F.when(F.col("is_total") == 1, "COMBINED").otherwise(F.col("g")).alias(by), "n", "mean", "p90")
 
 
 def worst(s: DataFrame, n: int, order: str, metric: str = "ned") -> DataFrame:

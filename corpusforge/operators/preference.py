@@ -10,6 +10,7 @@ from corpusforge.functions import text as T
 from corpusforge.operators.evaluation import pairs
 from corpusforge.operators.ranking import rank_in_group
 from corpusforge.operators.records import PROMPT
+from corpusforge.runtime import cut
 
 NED_RANGE, CER_LEAST = (0.05, 0.7), 0.10
 CAP_SHARE = 0.025
@@ -42,9 +43,15 @@ def staged(results: DataFrame, index: DataFrame | None = None, ned_min: float =
 
 
 def first_wins(staged_rows: DataFrame, order: list[str], key: str = "image_name") -> DataFrame:
-    """Kept rows of which only the first per image stays; the others get stage dup_image."""
-    w = Window.partitionBy(F.when(F.col("stage") == "kept", F.col(key)), F.col("stage"), F.when(F.col("stage") != "kept", F.xxhash64(*order))).orderBy(*order)
-    return staged_rows.withColumn("stage", F.when((F.col("stage") == "kept") & (F.row_number().over(w) > 1), "dup_image").otherwise(F.col("stage")))
+    """Kept rows of which only the first per image stays; the others get stage dup_image. ``order`` tells all rows of an image apart.
+
+    The first of an image is a minimum, combined before the shuffle, so an image that a third of the rows share is one row.
+    """
+    kept = F.col("stage") == "kept"
+    staged_rows = cut(staged_rows)  # the scores are costly and used twice
+    first = staged_rows.where(kept).groupBy(F.col(key).alias("__key")).agg(F.min(F.struct(*order)).alias("__first"))
+    d = staged_rows.join(first, kept & (F.col(key) == F.col("__key")), "left")
+    return d.withColumn("stage", F.when(kept & (F.struct(*order) != F.col("__first")), "dup_image").otherwise(F.col("stage"))).drop("__key", "__first")
 
 
 def funnel(rows: DataFrame, by: str) -> DataFrame:

@@ -33,8 +33,9 @@ def conform(df: DataFrame, source: str | None = None, kind: str = "text_line") -
 
 
 def image_name(name: Column, position: Column) -> Column:
-    """Given name, or the zero-padded position, with ``.png`` at the end."""
-    n = F.coalesce(name, F.lpad(position.cast("string"), 8, "0"))
+    """Given name, or the position padded with zeros to eight digits at least, with ``.png`` at the end."""
+    digits = position.cast("string")
+    n = F.coalesce(name, F.concat(F.repeat(F.lit("0"), F.greatest(F.lit(0), 8 - F.length(digits))), digits))
     return F.when(n.endswith(".png"), n).otherwise(F.concat(n, F.lit(".png")))
 
 

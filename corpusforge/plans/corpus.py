@@ -33,7 +33,7 @@ def column_autodetect(spark, d):
     return m.select("rec_id", F.col(R.detected(m, R.TEXT_COLUMNS)).alias("t"), F.col(R.detected(m, R.NAME_COLUMNS)).alias("f"))
 
 
-@query("P4", "select rec_id, case when n like '%.png' then n else n || '.png' end as name from (select rec_id, coalesce(file_name, lpad(rec_id::varchar, 8, '0')) as n from manifest)")
+@query("P4", "select rec_id, case when n like '%.png' then n else n || '.png' end as name from (select rec_id, coalesce(file_name, repeat('0', greatest(0, 8 - length(rec_id::varchar))) || rec_id::varchar) as n from manifest)")
 def png_suffix_names(spark, d):
     return _m(spark, d).select("rec_id", R.image_name(F.col("file_name"), F.col("rec_id")).alias("name"))
 

@@ -51,8 +51,8 @@ def floor_percentiles(spark, d):
 
 @query("A2 A4", "select l_shipmode_n, n, round(p50, 6) as p50, round(p99, 6) as p99 from (select l_linenumber as l_shipmode_n, count(*) as n, quantile_cont(l_extendedprice, 0.5) as p50, quantile_cont(l_extendedprice, 0.99) as p99 from lineitem group by 1)")
 def price_percentiles(spark, d):
-    q = table(spark, d, "lineitem").groupBy(F.col("l_linenumber").alias("l_shipmode_n")).agg(F.count("*").alias("n"), F.percentile("l_extendedprice", F.array(F.lit(0.5), F.lit(0.99))).alias("p"))
-    return q.select("l_shipmode_n", "n", F.round(F.get("p", F.lit(0)), 6).alias("p50"), F.round(F.get("p", F.lit(1)), 6).alias("p99"))
+    q = K.interpolated_percentiles(table(spark, d, "lineitem").withColumnRenamed("l_linenumber", "l_shipmode_n"), ["l_shipmode_n"], "l_extendedprice", [50, 99])
+    return q.select("l_shipmode_n", "n", F.round("p50", 6).alias("p50"), F.round("p99", 6).alias("p99"))
 
 
 @query("A18 A9", "select source, sum(octet_length(image.bytes))::bigint as bytes from manifest group by source")

@@ -64,3 +64,25 @@ def test_null_and_empty(spark):
     assert [(x.s, x.b, x.y) for x in r] == [(None, True, None), ("", True, None)]
     x = spark.createDataFrame([("a/b.c/d.tar.gz",), (".x",)], "t string").select(T.stem(F.col("t"))).collect()
     assert [y[0] for y in x] == ["d.tar", ".x"]
+
+
+@given(st.lists(st.integers(0, 4), max_size=14), st.lists(st.integers(0, 4), max_size=14))
+@settings(max_examples=300, deadline=None)
+def test_edit_distance_of_lists(a, b):
+    assert T.edit_distance(a, b) == edit(a, b)
+
+
+def test_words_without_number(spark):
+    """More distinct words than any code page holds."""
+    a = [f"w{i}" for i in range(70_000)]
+    b = a[:30_000] + ["x"] + a[30_001:60_000] + a[60_002:]
+    r = spark.createDataFrame([(" ".join(a), " ".join(b)), (None, "x")], "p string, r string").select(T.wer(F.col("p"), F.col("r")).alias("w")).collect()
+    assert r[0].w == pytest.approx(3 / 69_998) and r[1].w is None
+
+
+def test_long_positions(spark):
+    from corpusforge.operators import records
+
+    n = [5, 12345678, 123456789012, 123456789999]
+    r = spark.createDataFrame([(i,) for i in n], "i bigint").select(records.image_name(F.lit(None).cast("string"), F.col("i"))).collect()
+    assert [x[0] for x in r] == ["00000005.png", "12345678.png", "123456789012.png", "123456789999.png"]
