@@ -114,8 +114,8 @@ def paragraphs(pages: DataFrame, scale_x: float = 1.0, scale_y: float = 1.0) ->
     )
 
 
-def bands(pages: DataFrame, n: int = 5, seed: str = "42") -> DataFrame:
-    """(page_id, band, top, bottom, text): up to n bands of seeded heights down ``pages(page_id, lines<top,bottom,text>)``.
+def band_lines(pages: DataFrame, n: int = 5, seed: str = "42") -> DataFrame:
+    """``pages(page_id, lines<top, bottom, ...>)`` with a row for each of up to n bands of seeded heights: band, top, bottom, and ``own``, its lines.
 
     Heights are proportional to seeded draws and fill the content's extent; a band holds the lines inside it, or,
     if those are fewer than two, the lines that start inside; a band without two lines is skipped and the next
@@ -128,7 +128,8 @@ def bands(pages: DataFrame, n: int = 5, seed: str = "42") -> DataFrame:
     p = once(p, "__d", F.transform(F.sequence(F.lit(1), F.lit(n)), lambda i: 0.1 + 0.1 * draw(i)))
     total = F.aggregate("__d", F.lit(0.0), lambda a, x: a + x)
     p = once(p, "__b", F.transform("__d", lambda x: x / total * F.col("__e.h")))
-    kind = "array<struct<top:double,bottom:double,text:string>>"
+    band = lambda lo, hi, own: F.struct(lo.cast("double").alias("top"), hi.cast("double").alias("bottom"), own.alias("own"))
+    none = F.filter(F.array(band(F.lit(0.0), F.lit(0.0), F.col("lines"))), lambda x: F.lit(False))
 
     def step(a, h):
         lo, hi = a["at"], a["at"] + h
@@ -136,8 +137,13 @@ def bands(pages: DataFrame, n: int = 5, seed: str = "42") -> DataFrame:
         starts = F.filter("lines", lambda x: (x["top"] >= lo) & (x["top"] < hi))
         chosen = F.when(F.size(inside) >= 2, inside).otherwise(starts)
         ok = F.size(chosen) >= 2
-        one = F.struct(lo.alias("top"), hi.alias("bottom"), F.array_join(F.transform(chosen, lambda x: x["text"]), "\n").alias("text"))
-        return F.struct(F.when(ok, hi).otherwise(lo).alias("at"), F.when(ok, F.concat(a["out"], F.array(one))).otherwise(a["out"]).alias("out"))
+        return F.struct(F.when(ok, hi).otherwise(lo).alias("at"), F.when(ok, F.concat(a["out"], F.array(band(lo, hi, chosen)))).otherwise(a["out"]).alias("out"))
+
+    out = F.aggregate("__b", F.struct(F.col("__e.top").cast("double").alias("at"), none.alias("out")), step, lambda a: a["out"])
+    return p.select(*pages.columns, F.posexplode(out).alias("band", "x")).select(*pages.columns, (F.col("band") + 1).alias("band"), "x.*")
 
-    out = F.aggregate("__b", F.struct(F.col("__e.top").cast("double").alias("at"), F.array().cast(kind).alias("out")), step, lambda a: a["out"])
-    return p.select("page_id", F.posexplode(out).alias("band", "x")).select("page_id", (F.col("band") + 1).alias("band"), "x.*")
+
+def bands(pages: DataFrame, n: int = 5, seed: str = "42") -> DataFrame:
+    """(page_id, band, top, bottom, text) of the bands of ``band_lines``."""
+    text = F.array_join(F.transform("own", lambda x: x["text"]), "\n")
+    return band_lines(pages, n, seed).select("page_id", "band", "top", "bottom", text.alias("text"))

@@ -63,6 +63,15 @@ def rank_in_group(df: DataFrame, by: str, order: list[str], rank: str = "rank")
     return placed.withColumn(rank, F.col("__r") + F.col("__at")).drop("__p", "__q", "__by", "__at", "__r")
 
 
+def positions(df: DataFrame, name: str = "position") -> DataFrame:
+    """``df`` with the number of each row from 0, in the order of its partitions; written once, as counting and numbering both need it."""
+    d = cut(df.withColumns({"__p": F.spark_partition_id(), "__m": F.monotonically_increasing_id()}))
+    sizes = d.groupBy("__p").agg(F.count("*").alias("__n"))
+    before = sizes.select("__p", (F.sum("__n").over(Window.orderBy("__p")) - F.col("__n")).alias("__at"))  # a line per partition
+    # the low 33 bits of the id are the row's number in its partition
+    return d.join(F.broadcast(before), "__p").withColumn(name, F.col("__at") + F.col("__m").bitwiseAND(F.lit((1 << 33) - 1))).drop("__p", "__m", "__at")
+
+
 def split_of(rank: Column, n: Column, train: float, evaluation: float) -> Column:
     """train | eval | test by rank: both products are floored on their own."""
     a = F.floor(n * train)

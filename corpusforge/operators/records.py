@@ -83,3 +83,8 @@ def handles(xml: Column) -> Column:
     """Distinct /handle/ identifiers of a harvested page."""
     ids = F.regexp_extract_all(xml, F.lit(r"<dc:identifier>([^<]*)</dc:identifier>"), F.lit(1))
     return F.array_distinct(F.filter(ids, lambda x: x.contains("/handle/")))
+
+
+def handle_pdf_name(handle: Column) -> Column:
+    """File name of a handle's PDF: its last segment, a closing slash ignored."""
+    return F.concat(F.lit("theseus_"), F.substring_index(F.regexp_replace(handle, "/+$", ""), "/", -1), F.lit(".pdf"))
