@@ -89,10 +89,16 @@ def base_name(path: Column) -> Column:
     return F.substring_index(path, "/", -1)
 
 
+def url_parts(url: Column) -> list[Column]:
+    """Scheme, host and last segment of a URL."""
+    return [F.regexp_extract(url, r"^([A-Za-z][A-Za-z0-9+.-]*)://", 1).alias("scheme"), F.regexp_extract(url, r"^[^/]*//([^/?#]*)", 1).alias("host"), base_name(F.regexp_replace(url, "/+$", "")).alias("last")]
+
+
 def stem(path: Column) -> Column:
     return F.regexp_replace(base_name(path), r"(?<=.)\.[^.]*$", "")
 
 
+# Fixed value: the class of symbols.
 def symbol_share(x: Column) -> Column:
     """Share of digits and ASCII punctuation among the characters."""
     return F.regexp_count(x, F.lit(r"[0-9!@#$%^&*()_+\-=\[\]{}|;:'\",.<>?/\\`~]")) / F.nullif(F.length(x), F.lit(0))
@@ -121,6 +127,7 @@ def bar(count: Column, total: Column, width: int = 20) -> Column:
     return F.concat(F.repeat(F.lit("█"), k), F.repeat(F.lit("░"), F.lit(width) - k))
 
 
+# The marks of the turns.
 def rendered(messages: Column) -> Column:
     """Chat template: user turns, then assistant turns."""
     one = lambda m: F.when(m["role"] == "user", F.concat(F.lit("User: "), m["content"], F.lit("\nAssistant:\n"))).otherwise(F.coalesce(m["content"], F.lit("")))

@@ -19,7 +19,8 @@ RATES = {
     "medium": [(0.3, 0.7), (0.05, 0.20), (0.01, 0.05), (0.0, 0.04), (0.02, 0.08)],
     "heavy": [(0.5, 0.9), (0.10, 0.30), (0.02, 0.08), (0.01, 0.06), (0.04, 0.12)],
 }
-NOISE = "abcdefghijklmnopqrstuvwxyz"
+# Characters that noise puts in; confusions of one text at most.
+NOISE = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZäöåÄÖÅ0123456789"
 MOST_CONFUSIONS = 3
 
 
@@ -41,7 +42,7 @@ def diacritic_swap(x: Column, seed: Column, p: Column) -> Column:
 
 
 def confuse(x: Column, seed: Column, p: Column) -> Column:
-    """Confusions tried in order, first occurrence each, at most three applied."""
+    """Confusions tried in an order shuffled by seed, first occurrence each, at most three applied."""
     state = F.struct(x.alias("t"), F.lit(0).alias("k"))
     table = F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.lit(i).alias("i")) for i, (a, b) in enumerate(CONFUSIONS)])
     at = lambda s, c: F.call_function("locate", c["a"], s["t"])
@@ -51,7 +52,8 @@ def confuse(x: Column, seed: Column, p: Column) -> Column:
         swapped = F.concat(F.substr(s["t"], F.lit(1), at(s, c) - 1), c["b"], F.substr(s["t"], at(s, c) + F.length(c["a"])))
         return F.struct(F.when(hit, swapped).otherwise(s["t"]).alias("t"), F.when(hit, s["k"] + 1).otherwise(s["k"]).alias("k"))
 
-    return F.aggregate(table, state, step, lambda s: s["t"])
+    order = F.array_sort(F.transform(table, lambda c: F.struct(F.md5(F.concat_ws("|", seed, F.lit("s"), c["i"].cast("string"))).alias("h"), c["i"].alias("i"), c["a"].alias("a"), c["b"].alias("b"))))
+    return F.aggregate(order, state, step, lambda s: s["t"])
 
 
 def char_noise(x: Column, seed: Column, p: Column) -> Column:

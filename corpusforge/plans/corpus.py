@@ -7,7 +7,8 @@ from corpusforge.functions import text as T
 from corpusforge.operators import corruption as C
 from corpusforge.operators import records as R
 from corpusforge.plans.sqltext import some, strip, words
-from corpusforge.runtime import spread, table
+from corpusforge.runtime import fresh_dir, spread, table
+from corpusforge.sources import readers
 
 
 def _m(spark, d):
@@ -132,12 +133,28 @@ def diacritic_swap(spark, d):
     return spread(_m(spark, d)).select("rec_id", C.diacritic_swap(F.col("text"), F.col("rec_id").cast("string"), F.lit(0.6)).alias("text"))
 
 
-@query("F11")
+_LETTER = f"substr('{C.NOISE}', floor({_hash_sql(chr(39) + 'l' + chr(39), '(i - 1)::varchar')} * {len(C.NOISE)})::int + 1, 1)"
+_NOISE = _hash_sql(chr(39) + "n" + chr(39), "(i - 1)::varchar")
+
+
+@query("F11", _per_char_sql(f"case when {_NOISE} < 0.03::double * 0.4 then {_LETTER} when {_NOISE} < 0.03::double * 0.55 then {_LETTER} || c when {_NOISE} < 0.03 then '' else c end"))
 def char_noise(spark, d):
     return spread(_m(spark, d)).select("rec_id", C.char_noise(F.col("text"), F.col("rec_id").cast("string"), F.lit(0.03)).alias("text"))
 
 
-@query("F10")
+def _confuse_sql(p):
+    rows = ", ".join(f"({i}, '{a}', '{b}')" for i, (a, b) in enumerate(C.CONFUSIONS))
+    u = _hash_sql(chr(39) + "o" + chr(39), "i::varchar")
+    first = "{'t': text, 'k': 0, 'a': '', 'b': '', 'u': 1.0::double}"
+    hit = f"acc.k < {C.MOST_CONFUSIONS} and contains(acc.t, c.a) and c.u < {p}"
+    put = "substr(acc.t, 1, strpos(acc.t, c.a) - 1) || c.b || substr(acc.t, strpos(acc.t, c.a) + length(c.a))"
+    return f"""with f(i, a, b) as (values {rows}),
+        o as (select rec_id, list({{'t': '', 'k': 0, 'a': a, 'b': b, 'u': {u}::double}} order by md5(concat_ws('|', rec_id::varchar, 's', i::varchar)), i) as l from (select rec_id from manifest where text is not null) m, f group by rec_id)
+        select m.rec_id, case when text is null then null else list_reduce(list_prepend({first}, l), lambda acc, c: {{'t': case when {hit} then {put} else acc.t end, 'k': case when {hit} then acc.k + 1 else acc.k end, 'a': c.a, 'b': c.b, 'u': c.u}}).t end as text
+        from manifest m left join o on o.rec_id = m.rec_id"""
+
+
+@query("F10", _confuse_sql(0.15))
 def ocr_confuse(spark, d):
     return spread(_m(spark, d)).select("rec_id", C.confuse(F.col("text"), F.col("rec_id").cast("string"), F.lit(0.15)).alias("text"))
 
@@ -148,7 +165,7 @@ def synthetic_rejected(spark, d):
     return C.variants(m, "text", "rec_id", 2).select("rec_id", "variant", "rejected")
 
 
-@query("F17")
+@query("F17", f"""select rec_id, case when text is null then null when len({words('text')}) = 0 then '' else list_reduce({words('text')}, lambda a, w: case when length(string_split(a, chr(10))[-1]) + 1 + length(w) <= 45 + rec_id % 36 then a || ' ' || w else a || chr(10) || w end) end as text from manifest""")
 def word_wrap_greedy(spark, d):
     return _m(spark, d).select("rec_id", T.wrapped(F.col("text"), (F.pmod("rec_id", F.lit(36)) + 45).cast("int")).alias("text"))
 
@@ -163,29 +180,41 @@ def det_hash(spark, d):
     return _m(spark, d).select("rec_id", F.round(T.unit_hash(F.col("file_name")), 9).alias("u"))
 
 
-@query("S6 F22")
+@query("S6 S7 K3 F22", "select event_id, event_type, 1::bigint as fields from events where event_id % 50 <> 0")
 def jsonl_tolerant_scan(spark, d):
-    e = table(spark, d, "events").select("event_id", F.from_json("props", "map<string,string>").alias("p"))
-    return e.select("event_id", F.size("p").alias("fields"))
+    """Events written as JSON lines, every fiftieth broken off, blank lines between, and read again without the broken ones."""
+    e = table(spark, d, "events").select("event_id", "event_type")
+    line = F.to_json(F.struct("*"))
+    lines = e.select(F.explode(F.array(F.when(F.col("event_id") % 50 == 0, F.left(line, F.lit(12))).otherwise(line), F.lit("  "))).alias("value"))
+    path = fresh_dir(spark, "lines") + "/events.jsonl"
+    lines.write.text(path)
+    good, _ = readers.json_tolerant(spark, path, e.schema)
+    return good.select("event_id", "event_type", F.lit(1).cast("bigint").alias("fields"))
 
 
-@query("S15", "select rec_id, file_name as name, text from manifest where file_name is not null and text is not null")
+@query("S15", r"select file_name as name, regexp_replace(text, '[\r\n]', ' ', 'g') as text from manifest where file_name is not null and text is not null")
 def tsv_scan(spark, d):
-    line = F.concat(F.col("file_name"), F.lit("\t"), F.col("text"))
-    parts = F.split(line, "\t", 2)
-    return _m(spark, d).select("rec_id", parts.alias("p")).where(F.size("p") >= 2).select("rec_id", F.get("p", F.lit(0)).alias("name"), F.get("p", F.lit(1)).alias("text"))
+    """A TSV list written and read again; lines without a tab are no records."""
+    flat = F.regexp_replace("text", r"[\r\n]", " ")
+    lines = _m(spark, d).where("file_name is not null").select(F.when(F.col("text").isNull(), F.col("file_name")).otherwise(F.concat("file_name", F.lit("\t"), flat)).alias("value"))
+    path = fresh_dir(spark, "list") + "/list.tsv"
+    lines.write.text(path)
+    return readers.tsv_list(spark, path).select(F.col("file_name").alias("name"), "text")
 
 
-@query("P25")
+@query("P25", "select rec_id, '/bitstream/handle/' || file_name || '.PDF?sequence=1' as link from manifest where file_name is not null")
 def first_matching_link(spark, d):
     m = _m(spark, d).where("file_name is not null")
     html = F.concat(F.lit('<a href="/x"></a><a href="/bitstream/handle/'), F.col("file_name"), F.lit('.PDF?sequence=1&isAllowed=y">'))
     return m.select("rec_id", R.first_link(html).alias("link"))
 
 
-@query("F26", r"""select rec_id, regexp_replace(file_name, '^.*/', '') as last from manifest""")
+@query("F26 F30", r"""select rec_id, 'https' as scheme, 'x.org' as host, regexp_replace(file_name, '^.*/', '') as last, 'theseus_' || rec_id || '.pdf' as pdf from manifest where file_name is not null""")
 def url_parts(spark, d):
-    return _m(spark, d).select("rec_id", T.base_name(F.col("file_name")).alias("last"))
+    m = _m(spark, d).where("file_name is not null")
+    url = F.concat(F.lit("https://x.org/a/"), F.col("file_name"))
+    handle = F.concat(F.lit("http://x/handle/10024/"), F.col("rec_id").cast("string"), F.lit("/"))
+    return m.select("rec_id", *T.url_parts(url), R.handle_pdf_name(handle).alias("pdf"))
 
 
 @query("S12", r"""with h as (select rec_id, unnest(list_filter(regexp_extract_all('<dc:identifier>http://x/handle/' || rec_id || '</dc:identifier><dc:identifier>' || coalesce(source, '') || '</dc:identifier>', '<dc:identifier>([^<]*)</dc:identifier>', 1), lambda x: contains(x, '/handle/'))) as handle from manifest) select rec_id, handle from h""")

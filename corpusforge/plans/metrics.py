@@ -107,7 +107,8 @@ def ned_histogram(spark, d):
     return b.withColumn("percent", F.round(100 * F.col("n") / F.sum("n").over(Window.partitionBy(F.lit(1))), 6))
 
 
-@query("K13 F29")
+@query("K13 F29", f"""with {PAIRS}, g as (select source, count(*) as n from p group by source), k as (select source, n, round_even(20.0 * n / (select count(*) from eval_results), 0)::int as k from g)
+    select source, n, repeat('█', k) || repeat('░', 20 - k) as bar from k""")
 def report_bars(spark, d):
     total = table(spark, d, "eval_results").count()
     return eval_by_source(spark, d).select("source", "n", T.bar(F.col("n"), F.lit(total)).alias("bar"))

@@ -1,7 +1,5 @@
 """Preference, layout, raster and stream queries."""
 
-import tempfile
-
 from pyspark.sql import functions as F
 
 from corpusforge.catalog import query
@@ -9,7 +7,7 @@ from corpusforge.operators import layout as L
 from corpusforge.operators import preference as P
 from corpusforge.operators import raster as G
 from corpusforge.plans.sqltext import SCORED, strip
-from corpusforge.runtime import shared_dir, spread, table
+from corpusforge.runtime import fresh_dir, spread, table
 from corpusforge.streaming import ingest
 
 KEEP = f"""{SCORED}, t as (select *, {strip('ref')} as chosen, {strip('pred')} as rejected, regexp_replace(image, '^.*/', '') as image_name from s),
@@ -85,18 +83,28 @@ def _pages(spark, d):
     return docs.select(F.col("doc_id").alias("page_id"), F.lit(1000).alias("page_w"), F.lit(2000).alias("page_h"), F.transform("p", block).alias("blocks"))
 
 
-@query("L1 W2 J7 R5")
+_BLOCKS = """p as (select doc_id, list_filter(string_split(text, chr(10) || chr(10)), lambda x: length(x) > 0) as p from documents where length(text) > 0),
+    q as (select doc_id, unnest(list_transform(p, lambda x, i: {'i': i - 1, 't': x})) as q from p),
+    b as (select doc_id, q.i as i, q.t as t, 50 + (q.i % 3) * 300 as hpos, 100 + q.i * 40 as vpos, case when q.i % 7 = 0 then 900 else 280 end as w, 60 + length(q.t) % 200 as h from q),
+    c as (select *, (hpos + w / 2.0) / 1000.0 as centre, w / 1000.0 as span from b),
+    n as (select doc_id, centre, lag(centre) over (partition by doc_id order by centre) as before from c where span < 0.65 and len(string_split(t, chr(10))) >= 2 and h >= 100),
+    s as (select doc_id, list(centre) as s from n where centre - before > 0.12 group by doc_id),
+    placed as (select c.*, len(coalesce(s.s, [])) + 1 as n_cols, case when span >= 0.65 then 0 else len(list_filter(coalesce(s.s, []), lambda x: centre >= x)) end as col from c left join s on c.doc_id = s.doc_id)"""
+
+
+@query("L1 W2 J7 R5", f"with {_BLOCKS} select doc_id as page_id, n_cols::int as n_cols, i::int as block, col::int as col from placed")
 def column_detect(spark, d):
     p = L.with_columns_found(_pages(spark, d)).select("page_id", "n_cols", F.explode("placed").alias("b"))
     return p.select("page_id", "n_cols", F.col("b.i").alias("block"), F.col("b.col").alias("col"))
 
 
-@query("L2 O2 A16")
+@query("L2 O2 A16", f"with {_BLOCKS} select doc_id as page_id, md5(string_agg(t, chr(10) order by col, vpos, i)) as text_md5 from placed group by doc_id")
 def reading_order_text(spark, d):
     return L.with_columns_found(_pages(spark, d)).select("page_id", F.md5(L.reading_text(F.col("placed"))).alias("text_md5"))
 
 
-@query("W4 L3 X5")
+@query("W4 L3 X5", f"""with {_BLOCKS}, o as (select doc_id, col, length(t) as n, row_number() over w - 1 as r, sum(length(t)) over w as upto from placed where length({strip('t')}) >= 20 window w as (partition by doc_id, col order by vpos, i))
+    select a.doc_id as page_id, a.col::int as col, (e.r - a.r + 1)::int as win, a.r::int as start, (e.upto - a.upto + a.n + e.r - a.r)::int as chars from o a join o e on a.doc_id = e.doc_id and a.col = e.col and e.r >= a.r""")
 def sliding_windows(spark, d):
     return L.windows(L.with_columns_found(_pages(spark, d))).select("page_id", "col", "win", "start", F.length("text").alias("chars"))
 
@@ -107,16 +115,16 @@ def paragraph_dedup_cap(spark, d):
 
 
 @query("A15", """with b as (select doc_id, list_filter(string_split(text, chr(10) || chr(10)), lambda x: length(x) > 0) as p from documents where length(text) > 0),
-    c as (select doc_id, unnest(list_transform(p, lambda x, i: {'i': i - 1, 'n': length(x)})) as q from b where len(p) <= 40)
+    c as (select doc_id, unnest(list_transform(p, lambda x, i: {'i': i - 1, 'n': length(x)})) as q from b)
     select doc_id as page_id, min(50 + (q.i % 3) * 300)::bigint as x0, min(100 + q.i * 40)::bigint as y0, max(50 + (q.i % 3) * 300 + case when q.i % 7 = 0 then 900 else 280 end)::bigint as x1, max(100 + q.i * 40 + 60 + q.n % 200)::bigint as y1 from c group by doc_id""")
 def bbox_union(spark, d):
-    b = _pages(spark, d).where(F.size("blocks") <= 40).select("page_id", F.transform("blocks", lambda x: x["bbox"]).alias("b"))  # as its SQL has it
+    b = _pages(spark, d).select("page_id", F.transform("blocks", lambda x: x["bbox"]).alias("b"))
     low = lambda k: F.array_min(F.transform("b", lambda x: x[k])).cast("bigint")
     high = lambda k, s: F.array_max(F.transform("b", lambda x: x[k] + x[s])).cast("bigint")
     return b.select("page_id", low("hpos").alias("x0"), low("vpos").alias("y0"), high("hpos", "w").alias("x1"), high("vpos", "h").alias("y1"))
 
 
-@query("A12")
+@query("A12", f"with {_BLOCKS} select n_cols::int as n_cols, count(distinct doc_id) as pages from placed group by n_cols")
 def column_count_hist(spark, d):
     return L.with_columns_found(_pages(spark, d)).groupBy("n_cols").agg(F.count("*").alias("pages"))
 
@@ -223,11 +231,10 @@ def gated_augmented(spark, d):
     return G.preprocessed(_rasters(spark, d), ENTRIES, 3000, 6000, 14).select("id", "h", "w", F.md5("data").alias("pixels_md5"), "error")
 
 
-@query("W11 K6 K7 2.13")
+@query("W11 2.13", "select event_type, count(distinct event_id) as n from events group by event_type")
 def incremental_ingest(spark, d):
     """Events through the file stream until none is left, then read back."""
-    shared_dir(spark)
-    root = tempfile.mkdtemp(prefix="corpusforge-") if spark.sparkContext.master.startswith("local[") else f"{spark.sparkContext.getCheckpointDir()}/ingest-{spark.sparkContext.applicationId}-{id(object())}"
+    root = fresh_dir(spark, "ingest")
     e = table(spark, d, "events")
     stream = spark.readStream.schema(e.schema).option("pathGlobFilter", "events*.parquet").parquet(d)
     ingest.run_available(ingest.first_seen(stream, "event_id", "ts"), f"{root}/out", f"{root}/state")

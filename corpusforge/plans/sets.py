@@ -60,9 +60,10 @@ def embedded_bytes(spark, d):
     return _m(spark, d).groupBy("source").agg(F.sum(F.octet_length("image.bytes")).cast("bigint").alias("bytes"))
 
 
-@query("A9 P19")
+@query("A9 P19", """with b as (select rec_id, image.bytes as b, hex(image.bytes) as x from manifest)
+    select rec_id, ('0x' || substr(x, 33, 8))::bigint as width, ('0x' || substr(x, 41, 8))::bigint as height, octet_length(b)::int as bytes from b where starts_with(x, '89504E470D0A1A0A')""")
 def image_sizes(spark, d):
-    return _m(spark, d).select("rec_id", *P.png_size())
+    return _m(spark, d).select("rec_id", *P.png_size()).where("width is not null")
 
 
 @query("O7", "select rec_id from manifest order by md5('42' || rec_id::varchar), rec_id limit 100")
@@ -179,18 +180,18 @@ def weighted_sample_wo_repl(spark, d):
     return P.weighted_sample(table(spark, d, "documents").select("doc_id", "n_chars"), "doc_id", "n_chars", 100).select("doc_id")
 
 
-@query("J12 J9", "select t.source, t.target_share, coalesce(m.n, 0) as n from mix_targets t left join (select source, count(*) as n from manifest group by source) m on t.source = m.source")
+@query("A13", "select t.source, t.target_share, coalesce(m.n, 0) as n from mix_targets t left join (select source, count(*) as n from manifest group by source) m on t.source = m.source")
 def mixture_config(spark, d):
     n = _m(spark, d).groupBy("source").agg(F.count("*").alias("n"))
     return table(spark, d, "mix_targets").join(n, "source", "left").select("source", "target_share", F.coalesce("n", F.lit(0)).alias("n"))
 
 
-@query("J1 J2", "select e.result_id, c.entry_id, c.split_name from eval_results e join chat_entries c on e.entry_id = c.entry_id")
+@query("U1", "select e.result_id, c.entry_id, c.split_name from eval_results e join chat_entries c on e.entry_id = c.entry_id")
 def image_gt_inner(spark, d):
     return table(spark, d, "eval_results").join(table(spark, d, "chat_entries").select("entry_id", "split_name"), "entry_id").select("result_id", "entry_id", "split_name")
 
 
-@query("J3", "select o.o_orderkey, n.n_name from orders o join customer c on o.o_custkey = c.c_custkey join nation n on c.c_nationkey = n.n_nationkey")
+@query("X6", "select o.o_orderkey, n.n_name from orders o join customer c on o.o_custkey = c.c_custkey join nation n on c.c_nationkey = n.n_nationkey")
 def index_lookup_broadcast(spark, d):
     c = table(spark, d, "customer").join(small(table(spark, d, "nation")), F.col("c_nationkey") == F.col("n_nationkey"))
     return table(spark, d, "orders").join(c, F.col("o_custkey") == F.col("c_custkey")).select("o_orderkey", "n_name")
@@ -201,18 +202,19 @@ def used_anti_join(spark, d):
     return table(spark, d, "chat_entries").select("entry_id").join(table(spark, d, "eval_results").select("entry_id"), "entry_id", "left_anti")
 
 
-@query("J5 P18", "select entry_id from chat_entries c where exists (select 1 from eval_results e where e.entry_id = c.entry_id)")
+@query("J5", "select entry_id from chat_entries c where exists (select 1 from eval_results e where e.entry_id = c.entry_id)")
 def leakage_semi(spark, d):
     return table(spark, d, "chat_entries").select("entry_id").join(table(spark, d, "eval_results").select("entry_id"), "entry_id", "left_semi")
 
 
-@query("J7 J8", "select o_orderkey, ((o_totalprice >= 50000)::int + (o_totalprice >= 100000)::int + (o_totalprice >= 200000)::int)::bigint as band from orders")
+@query("F24", "select o_orderkey, ((o_totalprice >= 50000)::int + (o_totalprice >= 100000)::int + (o_totalprice >= 200000)::int)::bigint as band from orders")
 def band_join(spark, d):
     bounds = F.array(*[F.lit(float(b)) for b in (50_000, 100_000, 200_000)])
     return table(spark, d, "orders").select("o_orderkey", F.size(F.filter(bounds, lambda b: F.col("o_totalprice") >= b)).cast("bigint").alias("band"))
 
 
-@query("J9")
+@query("J9", """with n as (select *, unnest(generate_series(0, least(len(messages), len(images)) - 1)) as pos from chat_entries where images is not null and len(images) > 0)
+    select entry_id, pos::int as pos, messages[pos + 1].role as role, images[pos + 1] as i from n""")
 def positional_zip(spark, d):
     c = table(spark, d, "chat_entries").where("images is not null")
     n = F.least(F.size("messages"), F.size("images"))

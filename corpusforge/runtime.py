@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,8 +26,21 @@ def shared_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+def fresh_dir(spark: SparkSession, what: str) -> str:
+    """A folder of its own in the shared folder, deleted when the session's file system closes."""
+    path = f"{shared_dir(spark)}/{what}-{uuid.uuid4().hex}"
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = where.getFileSystem(spark._jsc.hadoopConfiguration())
+    fs.mkdirs(where)
+    fs.deleteOnExit(where)
+    return path
+
+
 def cut(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` in the shared folder, so that later reads neither recompute it nor depend on one executor."""
+    """Materialise ``df`` in the shared folder, so that later reads neither recompute it nor depend on one executor.
+
+    Spark deletes a checkpoint when nothing refers to it any more, if spark.cleaner.referenceTracking.cleanCheckpoints is set.
+    """
     shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)
 

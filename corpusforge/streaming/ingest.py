@@ -14,8 +14,13 @@ def files_arriving(spark: SparkSession, path: str, schema: StructType, per_trigg
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", per_trigger).parquet(path)
 
 
-def first_seen(stream: DataFrame, key: str, event_time: str, lateness: str = "30 days") -> DataFrame:
-    """Each key once; state is dropped when the watermark passes."""
+def first_seen(stream: DataFrame, key: str, event_time: str, lateness: str | None = None) -> DataFrame:
+    """Each key once, however late it comes: the state keeps every key (on a cluster, in a state store on disk).
+
+    With ``lateness`` the state of a key is dropped that long after its event time, and rows later than that are lost.
+    """
+    if lateness is None:
+        return stream.dropDuplicates([key])
     return stream.withColumn(event_time, F.col(event_time).cast("timestamp")).withWatermark(event_time, lateness).dropDuplicatesWithinWatermark([key])
 
 
