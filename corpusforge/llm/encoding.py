@@ -260,11 +260,11 @@ def garbled_words(records: DataFrame, text: str = "text") -> tuple[DataFrame, Da
     return fixed.unionByName(gone), likely.select("token", "k", "form", ((F.col("form_n") >= RATIO) & (F.length("form") >= 3)).alias("strong"))
 
 
-def garbled_records(records: DataFrame, id_col: str = "rec_id", text: str = "text", extra: list[str] | None = None) -> DataFrame:
-    """(id, token, form) of every garbled word of every record."""
+def garbled_records(records: DataFrame, id_col: str = "rec_id", text: str = "text", extra: list[str] | None = None, of: DataFrame | None = None) -> DataFrame:
+    """(id, token, form) of every garbled word of every record, or of the records ``of``; what is learned comes from all."""
     bad, likely = garbled_words(records, text)
     bad = cut(bad)
-    suspects = records.where(F.col(text).rlike(_OUTSIDE)).select(id_col, *(extra or []), F.col(text).alias("__t"), F.explode(F.array_distinct(words(F.col(text), _OUTSIDE))).alias("token"))
+    suspects = (records if of is None else of).where(F.col(text).rlike(_OUTSIDE)).select(id_col, *(extra or []), F.col(text).alias("__t"), F.explode(F.array_distinct(words(F.col(text), _OUTSIDE))).alias("token"))
     out = suspects.join(bad, "token").select("token", id_col, *(extra or []), "form")
     if likely is None:
         return out
@@ -276,9 +276,9 @@ def garbled_records(records: DataFrame, id_col: str = "rec_id", text: str = "tex
     return out.unionByName(more.join(bad, "token", "left_anti").select("token", id_col, *(extra or []), "form"))
 
 
-def found(records: DataFrame) -> DataFrame:
-    """(rec_id): records whose text, wholly or in part, was decoded with the wrong encoding."""
-    return garbled_records(records).select("rec_id").distinct()
+def found(records: DataFrame, of: DataFrame | None = None) -> DataFrame:
+    """(rec_id): records, or those among ``of``, whose text, wholly or in part, was decoded with the wrong encoding."""
+    return garbled_records(records, of=of).select("rec_id").distinct()
 
 
 def restored(records: DataFrame) -> DataFrame:

@@ -116,6 +116,6 @@ def normalise(text: Column) -> Column:
 
 
 def deviating(df: DataFrame, id_col: str, text: str) -> DataFrame:
-    """(id, deviation): rows of ``df`` whose ``text`` is not in normal form, case aside."""
-    some = df.where(F.col(text).rlike(ORDINARY)).select(F.col(id_col), _deviation(text).alias("deviation"))
+    """(id, text, deviation): rows of ``df`` whose ``text`` is not in normal form, case aside."""
+    some = df.where(F.col(text).rlike(ORDINARY)).select(F.col(id_col), F.col(text), _deviation(text).alias("deviation"))
     return some.where("deviation > 0")

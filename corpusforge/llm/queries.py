@@ -21,7 +21,8 @@ def p1_segments(spark, d):
 
 def p2_found(spark, d):
     m, e = table(spark, d, "manifest"), table(spark, d, "eval_results")
-    in_manifest = normal.deviating(m, "rec_id", "text").select("rec_id").join(encoding.found(m), "rec_id", "left_anti")
+    odd = cut(normal.deviating(m, "rec_id", "text").select("rec_id", "text"))  # only these can be both; problem 4 looks at them alone
+    in_manifest = odd.select("rec_id").join(encoding.found(m, odd), "rec_id", "left_anti")
     in_eval = normal.deviating(e, "result_id", "answer")
     return in_manifest.select(F.lit("manifest").alias("tab"), F.col("rec_id").alias("row_id")).unionByName(in_eval.select(F.lit("eval_results").alias("tab"), F.col("result_id").alias("row_id")))
 
@@ -141,7 +142,23 @@ QUERIES = {
 _REFERENCE = "coalesce(nullif(trim(messages[2].content), ''), nullif(trim(label), ''))"
 _TRIGRAM = "list_concat(['^', '^'], list_filter(regexp_split_to_array(lower({}), ' +'), lambda w: w <> ''))"
 
+# the rule of problem 7 on all pairs; letters beyond ASCII count as one character, as the engine of the SQL compares bytes
+_SPELT = "array_to_string(list_transform(regexp_extract_all({x}, '(?s).'), lambda t: chr(list_position(v, t)::int)), '')"
+_OVERLAPS = r"""
+        e as (select entry_id, split_name, source, trim(regexp_replace(lower(messages[2].content), '[\s\p{Z}]+', ' ', 'g')) as text, images from chat_entries where split_name is not null),
+        t as (select text, bool_or(split_name = 'train') as train, bool_or(split_name <> 'train') as held from e where length(text) >= 40 group by text),
+        near as (select a.text as ta, b.text as tb, greatest(length(a.text), length(b.text)) as n from t a join t b on a.train and b.held and length(a.text) >= 0.9 * length(b.text) - 1 and length(b.text) >= 0.9 * length(a.text) - 1
+            and (a.text = b.text or levenshtein(a.text, b.text) <= 0.3 * greatest(length(a.text), length(b.text)))),
+        v as (select *, list_distinct(list_concat(regexp_extract_all(ta, '(?s).'), regexp_extract_all(tb, '(?s).'))) as v from near),
+        same as (select ta, tb from v where ta = tb or levenshtein(SPELT_A, SPELT_B) <= floor(n * 0.1::double)),
+        i as (select distinct entry_id, split_name, source, regexp_extract(regexp_replace(p, '[\\/]+(\.[\\/]+)*', '/', 'g'), '(^|/)(images/.*)$', 2) as key from (select entry_id, split_name, source, unnest(images) as p from e)),
+        o as (select x.entry_id as a, y.entry_id as b, y.split_name as split_name, y.source as source, 'content' as kind from same s join e x on x.text = s.ta and x.split_name = 'train' join e y on y.text = s.tb and y.split_name <> 'train'
+            union select x.entry_id, y.entry_id, y.split_name, y.source, 'image' from i x join i y on x.key = y.key and x.key <> '' and x.split_name = 'train' and y.split_name <> 'train')""".replace(
+    "SPELT_A", _SPELT.format(x="ta")).replace("SPELT_B", _SPELT.format(x="tb"))
+
 SQL = {
+    "p7_found": f"with {_OVERLAPS} select distinct least(a, b) as entry_a, greatest(a, b) as entry_b from o",
+    "p7_counts": f"with {_OVERLAPS} select split_name, source, kind, count(distinct b) as entries, count(*) as pairs from o group by split_name, source, kind",
     "p6_method": f"""
         with t as (select distinct {_TRIGRAM.format(_REFERENCE)} as w from eval_results where {_REFERENCE} is not null),
         g as (select unnest(list_transform(generate_series(3, len(w)), lambda i: {{'k': w[i - 2:i], 'inside': i < len(w)}})) as g from t),

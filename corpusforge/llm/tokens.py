@@ -13,6 +13,10 @@ import numpy as np
 
 #: Distinct cuts remembered by one Python worker (about 100 bytes each).
 CACHE_CUTS = 1_000_000
+#: Cuts of more tokens are measured inside: an unbroken run of letters, digits or signs.
+LONG_CUT = 32
+#: Tokens that re-reading part of a cut may add at its edges.
+EDGE_TOKENS = 4
 DEFAULT_VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 
 
@@ -58,16 +62,38 @@ class Counter:
     def count(self, text: str) -> int:
         return sum(self.sizes(text)[1])
 
+    def inside(self, cut: str) -> list[tuple[int, int]]:
+        """(characters, tokens) of the stretches of one cut between token ends that are ends of a character."""
+        ends = np.cumsum([len(c.encode("utf-8", "surrogatepass")) for c in cut])
+        places = {int(e): k + 1 for k, e in enumerate(ends)}
+        out, at, last, tokens = [], 0, 0, 0
+        for t in self.encoding.encode_ordinary(cut):
+            at += len(self.encoding.decode_single_token_bytes(t))
+            tokens += 1
+            if at in places:
+                out.append((places[at] - last, tokens))
+                last, tokens = places[at], 0
+        return out
+
+    def stretches(self, text: str) -> tuple[list[int], list[int]]:
+        """Characters and tokens of the cuts of ``text``, long ones in parts."""
+        cuts, n = self.sizes(text)
+        if max(n, default=0) <= LONG_CUT:
+            return list(map(len, cuts)), n
+        parts = [x for c, k in zip(cuts, n) for x in (self.inside(c) if k > LONG_CUT else [(len(c), k)])]
+        return [x[0] for x in parts], [x[1] for x in parts]
+
     def tightest(self, text: str, limit: int) -> tuple[int, int]:
         """(tokens of ``text``, fewest characters that any run of more than ``limit`` tokens spans); (n, -1) if n <= limit.
 
-        A run is measured in whole cuts, rounded down, so a window of fewer characters can't exceed ``limit``.
+        A run is measured in whole cuts, rounded down, so a window of fewer characters can't exceed ``limit``; only a
+        long cut is measured inside, between its tokens.
         """
-        cuts, n = self.sizes(text)
+        lengths, n = self.stretches(text)
         ends = np.cumsum(n)
         if not len(ends) or ends[-1] <= limit:
             return int(ends[-1]) if len(ends) else 0, -1
-        chars = np.concatenate([[0], np.cumsum(list(map(len, cuts)))])
+        chars = np.concatenate([[0], np.cumsum(lengths)])
         before = np.concatenate([[0], ends])
         # from the start of cut i, the first cut j whose end passes the limit: a window inside (i, j) holds at most limit tokens
         j = np.searchsorted(before, before[:-1] + limit, side="right") - 1
@@ -76,11 +102,16 @@ class Counter:
         return int(ends[-1]), int(max(1, spans.min(initial=len(text))))
 
     def tail(self, text: str, tokens: int) -> int:
-        """Characters of the longest run of whole cuts at the end of ``text`` that has at most ``tokens`` tokens."""
+        """Characters of the longest run of whole cuts at the end of ``text`` that has at most ``tokens`` tokens; a long cut may be taken in part."""
         cuts, n = self.sizes(text)
         got = chars = 0
         for c, k in zip(reversed(cuts), reversed(n)):
             if got + k > tokens:
+                if k > LONG_CUT:
+                    for length, part in reversed(self.inside(c)):
+                        if got + part > tokens - EDGE_TOKENS:
+                            break
+                        got, chars = got + part, chars + length
                 break
             got, chars = got + k, chars + len(c)
         return chars

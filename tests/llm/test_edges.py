@@ -126,3 +126,31 @@ def test_trigrams_alone(spark):
     noisy = far[:100] + "".join("x" if i % 5 == 0 else c for i, c in enumerate(far[100:300]))
     one = spark.createDataFrame([(1, [("user", "x"), ("assistant", far)], noisy, None), (2, [("user", "x"), ("assistant", far)], far[:100], None)], df.schema)
     assert {r.result_id for r in truncation.truncated(one).collect()} == {1, 2}  # anchors are tried as far back as the answer goes
+
+
+def test_runs_without_any_boundary(spark):
+    """Long unbroken runs are cut between tokens, not letter by letter."""
+    from corpusforge.llm.tokens import counter, vocabulary_path
+
+    rng = random.Random(8)
+    c = counter(vocabulary_path())
+    runs = ["".join(rng.choices("abcdefghijklmnopqrstuvwxyzåäö", k=30_000)), "".join(rng.choices("абвгдежзик", k=20_000)), "sana " * 500 + "x" * 40_000 + " sana" * 3000, "漢字" * 9000]
+    d = spark.createDataFrame(list(enumerate(runs)), "doc_id bigint, text string")
+    p = chunking.pieces(d).orderBy("doc_id", "piece_no").collect()
+    for k, t in enumerate(runs):
+        mine = [r for r in p if r.doc_id == k]
+        assert all(c.count(r.text) <= 4096 for r in mine)
+        assert "".join(r.text[r.overlap_chars:] for r in mine) == t
+        assert c.count(t) / 4096 <= len(mine) <= 3 + 2.5 * c.count(t) / 4096
+        assert all(r.overlap_chars > 20 and c.count(r.text[:r.overlap_chars]) <= 128 for r in mine[1:])
+
+
+def test_segments_of_a_mixed_text(spark):
+    samples = [(r.lang, r.text) for r in spark.read.parquet("/root/testdata/sf0.001/lang_samples.parquet").collect()]
+    m = langid.Model.fit(samples)
+    fi, ru = next(t for la, t in samples if la == "fi" and len(t) > 80), next(t for la, t in samples if la == "ru" and len(t) > 80)
+    s = m.segments([f"{fi} {ru}", fi, "aa", fi * 40])
+    assert [langid.LANGUAGES[x[0]] for x in s[0]] == ["fi", "ru"] and s[0][0][2] <= s[0][1][1] and s[0][1][2] <= len(fi) + 1 + len(ru)
+    assert 0.5 < s[1][0][3] < 1 and abs(s[1][0][3] - s[3][0][3]) < 0.02 and s[2][0][3] < s[1][0][3]  # no surer for being longer
+    few = langid.Model(m.weights, m.codes, 10)
+    assert len(few.segments([f"{fi} {ru[:18]}"])[0]) == 2 and len(m.segments([f"{fi} {ru[:18]}"])[0]) == 1

@@ -33,3 +33,29 @@ def test_every_passage_is_cut(spark, tmp_path):
     assert all(len(t) > 0.9 * len(docs.where(F.col("doc_id") == k).first().text) - len(" ".join(bodies[k])) for k, t in clean.items())
     found = [tuple(r) for r in queries.p9_found(spark, str(tmp_path)).collect()]
     assert sorted(found) == [(k, 1) for k in (1, 2, 3, 4, 5)]
+
+
+def test_items_that_overlap_in_a_document(spark):
+    """Two items share words; their spans overlap, and nothing of either is left."""
+    rng = random.Random(5)
+    word = lambda: "".join(rng.choice("aeioukstlnrmpvhj") for _ in range(rng.randrange(4, 11)))
+    w = [word() for _ in range(60)]
+    other = lambda n: " ".join(word() for _ in range(n))
+    items = spark.createDataFrame([(1, " ".join(w[:40])), (2, " ".join(w[20:]))], "item_id bigint, text string")
+    docs = spark.createDataFrame([(1, f"{other(200)} {' '.join(w)} {other(200)}"), (2, other(300))], "doc_id bigint, text string")
+    p = leakage.passages(docs, items)
+    assert {(r.doc_id, r.item_id) for r in p.collect()} == {(1, 1), (1, 2)}
+    clean = leakage.without_spans(docs, p)
+    assert clean.count() == 2 and leakage.passages(clean, items).count() == 0
+    twice = spark.createDataFrame([(1, f"{' '.join(w[:14])} {other(40)} {' '.join(w[:14])}")], "doc_id bigint, text string")
+    one = leakage.leaks(twice, items).collect()
+    assert [(r.words, r.start) for r in one] == [(14, 0)] and one[0].end == len(" ".join(w[:14]))  # the first of two equal runs, start and end of one
+
+
+def test_items_in_blocks(spark, monkeypatch):
+    monkeypatch.setattr(leakage, "ITEM_BLOCK", 2)
+    rng = random.Random(6)
+    texts = [" ".join("".join(rng.choice("aeioukstlnrmpvhj") for _ in range(7)) for _ in range(20)) for _ in range(9)]
+    items = spark.createDataFrame(list(enumerate(texts)), "item_id bigint, text string")
+    docs = spark.createDataFrame([(k, "alku " + t) for k, t in enumerate(texts)], "doc_id bigint, text string")
+    assert sorted((r.doc_id, r.item_id) for r in leakage.leaks(docs, items).collect()) == [(k, k) for k in range(9)]
