@@ -27,7 +27,7 @@ def split_entries(manifest: DataFrame, out: str, train: float = 0.9, evaluation_
     """
     named = manifest.withColumn("file_name", name_col(manifest)) if name_col else manifest
     e = records.chat_entries(named).select("messages", "images", "source").withColumn("image", F.get("images", F.lit(0)))
-    ranked, n = ranking.hash_ranked(e, F.coalesce("image", F.lit("")), F.xxhash64(F.to_json(F.struct("messages"))))
+    ranked, n = ranking.hash_ranked(e, F.coalesce("image", F.to_json(F.struct("messages"))), F.xxhash64(F.to_json(F.struct("messages"))))
     if kfolds < 2:
         s = ranking.leak_free(ranked.withColumn("split", ranking.split_of(F.col("rank"), n, train, evaluation_share)), "split", "image")
         writers.split_lines(s.select("split", "messages", "images", "source"), "split", out)

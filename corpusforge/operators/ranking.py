@@ -79,11 +79,12 @@ def split_of(rank: Column, n: Column, train: float, evaluation: float) -> Column
 
 
 def leak_free(df: DataFrame, split: str, key: str) -> DataFrame:
-    """Rows whose key occurs in no earlier split (train, eval, test); repeats inside one split stay."""
+    """Rows whose key occurs in no earlier split (train, eval, test); repeats inside one split stay, and so do rows without a key."""
     order = F.when(F.col(split) == "train", 0).when(F.col(split) == "eval", 1).otherwise(2)
     d = df.withColumn("__o", order)
     first = d.groupBy(key).agg(F.min("__o").alias("__first"))
-    return d.join(first, d[key].eqNullSafe(first[key])).where("__o = __first").drop(first[key]).drop("__o", "__first")
+    first = first.where(F.col(key).isNotNull()).withColumnRenamed(key, "__key")
+    return d.join(first, F.col(key) == F.col("__key"), "left").where("__key is null or __o = __first").drop("__o", "__key", "__first")
 
 
 def folds(rank: Column, n: Column, k: int, train: float) -> Column:

@@ -81,13 +81,13 @@ def distinct_images_per_category(spark, d):
     return table(spark, d, "eval_results").groupBy("source").agg(F.count_distinct(F.get("images", F.lit(0))).alias("images"))
 
 
-RANKED = f"""r as (select rec_id, file_name, source, row_number() over (order by md5(coalesce(file_name, '')) || md5(rec_id::varchar)) - 1 as rank, count(*) over () as n from manifest where {some('text')}),
+RANKED = f"""r as (select rec_id, file_name, source, row_number() over (order by md5(coalesce(file_name, rec_id::varchar)) || md5(rec_id::varchar)) - 1 as rank, count(*) over () as n from manifest where {some('text')}),
     s as (select *, case when rank < floor(n * 0.9::double) then 'train' when rank < floor(n * 0.9::double) + floor(n * 0.05::double) then 'eval' else 'test' end as split from r)"""
 
 
 def _ranked(spark, d):
     m = _m(spark, d).where(~T.is_blank(F.col("text"))).select("rec_id", "file_name", "source")
-    return K.hash_ranked(m, F.coalesce("file_name", F.lit("")), F.col("rec_id"))
+    return K.hash_ranked(m, F.coalesce("file_name", F.col("rec_id").cast("string")), F.col("rec_id"))  # unnamed records are named by their id
 
 
 def _split(spark, d):
@@ -105,12 +105,16 @@ def split_counts(spark, d):
     return _split(spark, d).groupBy("source", "split").agg(F.count("*").alias("n"))
 
 
+_ENTRY_SPLITS = "s as (select entry_id, case split_name when 'validation' then 'eval' else split_name end as split, images[1] as image from chat_entries where split_name is not null)"
 ORD = "case split when 'train' then 0 when 'eval' then 1 else 2 end"
 
 
-@query("J5 R2", f"with {RANKED}, o as (select *, {ORD} as o, min({ORD}) over (partition by file_name) as first from s) select rec_id, split from o where o = first")
+@query("J5 R2", f"with {_ENTRY_SPLITS}, o as (select *, {ORD} as o, min({ORD}) over (partition by image) as first from s) select entry_id, split from o where o = first or image is null")
 def leak_free_split(spark, d):
-    return K.leak_free(_split(spark, d), "split", "file_name").select("rec_id", "split")
+    """Entries whose first image stands in no earlier split."""
+    split = F.when(F.col("split_name") == "validation", "eval").otherwise(F.col("split_name"))
+    e = table(spark, d, "chat_entries").where("split_name is not null").select("entry_id", split.alias("split"), F.get("images", F.lit(0)).alias("image"))
+    return K.leak_free(e, "split", "image").select("entry_id", "split")
 
 
 @query("W9 R6", f"with {RANKED} select rec_id, (case when rank >= floor(n * 0.9::double) then -1 else least(floor(rank / floor(floor(n * 0.9::double) / 5)), 4) end)::bigint as fold from r")

@@ -264,3 +264,52 @@ def test_blank_filters(spark):
     df = spark.createDataFrame([(None, "x"), ("", "x"), (" 　\n", "x"), (" kala ", None)], "text string, img string")
     assert [tuple(r) for r in R.conform(df, "s").select("source", "text", "type").collect()] == [("s", "kala", "text_line")]
     assert R.conform(df.drop("img")) is None and df.where(T.is_blank(F.col("text"))).count() == 3
+
+
+def test_ranks_with_hot_keys(spark, monkeypatch):
+    """A key of a third of all rows gets buckets of its own; the ranks are those of one sort."""
+    import hashlib
+
+    rows = [(i, "hot" if i % 3 == 0 else "warm" if i % 3 == 1 and i % 2 else f"k{i % 200}") for i in range(3000)]
+    df = spark.createDataFrame(rows, "id int, key string")
+    md5 = lambda x: hashlib.md5(str(x).encode()).hexdigest()
+    want = {i: r for r, (_, _, i) in enumerate(sorted((md5(k), md5(i), i) for i, k in rows))}
+    for hot in (100_000, 300):
+        monkeypatch.setattr(K, "HOT_ROWS", hot)
+        ranked, n = K.hash_ranked(df, F.col("key"), F.col("id"))
+        got = ranked.select("id", "rank", n.alias("n")).collect()
+        assert {r.id: r["rank"] for r in got} == want and {r.n for r in got} == {3000}
+    hot = K._hot_keys(df.withColumns({"__k": F.md5("key"), "__b": F.substr(F.md5("key"), F.lit(1), F.lit(3))}))
+    assert {x for r in hot.collect() for x in r["__hot"]} == {md5("hot"), md5("warm")}
+    assert K.hash_ranked(df.limit(0), F.col("key"), F.col("id"))[0].count() == 0
+
+
+def test_percentiles_from_slices(spark):
+    rng = np.random.default_rng(7)
+    rows = [("a", float(v)) for v in rng.normal(size=501)] + [("b", 2.0)] * 40 + [("c", 1.5)] + [(None, float(v)) for v in range(10)] + [("d", None)]
+    df = spark.createDataFrame(rows, "g string, v double").repartition(7)
+    ps = [0, 50, 75, 99, 100]
+    got = {r.g: tuple(r)[2:] for r in K.interpolated_percentiles(df, ["g"], "v", ps).collect()}
+    by = {}
+    for g, v in rows:
+        if v is not None:
+            by.setdefault(g, []).append(v)
+    assert set(got) == set(by) and all(np.allclose(got[g], np.percentile(by[g], ps)) for g in by)
+    low = {r.g: (r.p25, r.p50) for r in K.floor_percentiles(df, ["g"], "v", [25, 50]).collect()}
+    assert low == {g: tuple(sorted(v)[min(int(len(v) * p / 100), len(v) - 1)] for p in (25, 50)) for g, v in by.items()}
+    assert np.allclose(tuple(K.interpolated_percentiles(df, [], "v", ps).first())[1:], np.percentile([v for _, v in rows if v is not None], ps))
+
+
+def test_first_of_a_hot_image(spark):
+    rows = [(i, "kept" if i % 5 else "no_diff", "one.png" if i % 3 else f"{i}.png") for i in range(600)] + [(900, "missing", None)]
+    r = P.first_wins(spark.createDataFrame(rows, "id int, stage string, image_name string").repartition(5), ["id"]).collect()
+    kept = {x.image_name: x.id for x in r if x.stage == "kept"}
+    assert len(r) == 601 and kept["one.png"] == 1 and sum(x.stage == "dup_image" for x in r) == sum(k == "kept" and n == "one.png" for _, k, n in rows) - 1 and sum(x.stage == "missing" for x in r) == 1
+
+
+def test_every_block_counts_in_bands(spark):
+    lines = [(f"r{i}", 20.0 * i, 20.0 * i + 15) for i in range(30)]
+    df = spark.createDataFrame([(1, lines, "x"), (2, lines[:1], "x"), (3, None, "x"), (4, [("a", 5.0, 5.0), ("b", 5.0, 5.0)], "x")], "page_id int, lines array<struct<text:string,top:double,bottom:double>>, band string")
+    assert {r.page_id for r in L.bands(df.drop("band")).collect()} == {1}
+    b = L.band_lines(df.drop("band")).collect()
+    assert all(len(r.own) >= 2 and len(r.lines) == 30 for r in b) and [r.band for r in b] == list(range(1, len(b) + 1))
