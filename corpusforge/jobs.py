@@ -68,6 +68,34 @@ def ingest_tables(spark: SparkSession, paths: dict[str, str], out: str, source:
             direct_entries(m, f"{out}/{split}.jsonl")
 
 
+def ingest_dataset(spark: SparkSession, folder: str, out: str, source: str, kfolds: int = 0) -> None:
+    """Whatever splits a dataset's folder has, as manifests and entries."""
+    ingest_tables(spark, readers.splits_of(spark, folder), out, source, kfolds)
+
+
+def ingest_flat(spark: SparkSession, path: str, images: str, out: str) -> DataFrame:
+    """A table of texts and image names with the bytes of the images there are; returns the names of those that aren't."""
+    m = records.conform(readers.load(spark, path)).withColumn("name", T.base_name(F.coalesce("image.path", "file_name")))
+    img = readers.files(spark, images, "*", content=True).select("name", "content")
+    m.join(img, "name").withColumn("image", F.struct(F.col("content").alias("bytes"), F.col("image.path").alias("path"))).drop("name", "content").write.mode("ignore").parquet(out)
+    return m.join(img.select("name"), "name", "left_anti").select("name").distinct()
+
+
+def standard(spark: SparkSession, folder: str) -> DataFrame:
+    """The manifest of a dataset's folder, under whichever of the usual names it lies."""
+    path = readers.first_existing(spark, folder)
+    if path is None:
+        raise FileNotFoundError(f"no manifest in {folder}")
+    return readers.load(spark, path)
+
+
+def dataset_card(spark: SparkSession, folder: str, out: str, name: str | None = None, description: str = "") -> None:
+    """The card of a dataset's folder."""
+    text = writers.card(standard(spark, folder), name or os.path.basename(folder.rstrip("/")).upper().replace("-", "_").replace(" ", "_"), description)
+    with open(out, "w", encoding="utf-8") as f:
+        f.write(text)
+
+
 def ingest_pairs(spark: SparkSession, folder: str, out: str) -> None:
     """Paired image and text files."""
     writers.manifest(readers.paired(spark, folder), f"{out}/train.parquet")
@@ -107,7 +135,7 @@ def ingest_layout(spark: SparkSession, folder: str, out: str, source: str, resum
     return pages.groupBy("n_cols").agg(F.count("*").alias("pages"))
 
 
-def ingest_pages(spark: SparkSession, path: str, out: str, generate: str | None = None, dpi: int = 150, seed: str = "42", kfolds: int = 0) -> None:
+def ingest_pages(spark: SparkSession, path: str, out: str, generate: str | None = None, dpi: int = 300, seed: str = "42", kfolds: int = 0) -> None:
     """Text lines of PDF pages, as an extractor leaves them, as page and paragraph records.
 
     ``path`` holds JSON lines (pdf_file, page, img_w, img_h, lines<text, x0, top, x1, bottom>) in points. A page of two
@@ -245,7 +273,7 @@ def sample(spark: SparkSession, path: str, n: int = 10, seed: str = "42", images
     return s.select("source", "file_name", preview.alias("text")).orderBy("file_name")
 
 
-def shuffled_split(spark: SparkSession, path: str, out: str, train: float = 0.9, evaluation_share: float = 0.05, seed: str = "42") -> DataFrame:
+def shuffled_split(spark: SparkSession, path: str, out: str, train: float = 0.8, evaluation_share: float = 0.1, seed: str = "42") -> DataFrame:
     """Entries of a manifest in seeded order, cut into train, eval and test by rank; returns the sizes."""
     e = records.chat_entries(spark.read.parquet(path)).select("messages", "images", "source")
     key = F.concat(F.lit(seed), F.to_json(F.struct("images", "messages")))
@@ -285,6 +313,9 @@ def main(argv: list[str] | None = None) -> None:
     p = argparse.ArgumentParser(prog="corpusforge")
     sub = p.add_subparsers(dest="job", required=True)
     jobs = {
+        "ingest-dataset": (ingest_dataset, ["folder", "out", "source"], {"kfolds": int}),
+        "ingest-flat": (ingest_flat, ["path", "images", "out"], {}),
+        "dataset-card": (dataset_card, ["folder", "out"], {"name": str, "description": str}),
         "ingest-pairs": (ingest_pairs, ["folder", "out"], {}),
         "ingest-layout": (ingest_layout, ["folder", "out", "source"], {"resume": bool, "generate": str, "kfolds": int}),
         "ingest-pages": (ingest_pages, ["path", "out"], {"generate": str, "dpi": int, "kfolds": int}),

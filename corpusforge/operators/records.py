@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, StructType
 
 from corpusforge.functions import text as T
 
@@ -28,10 +29,21 @@ def conform(df: DataFrame, source: str | None = None, kind: str = "text_line") -
     return out.select(
         (F.lit(source) if source else F.col("source") if "source" in df.columns else F.lit(None).cast("string")).alias("source"),
         (F.col(name).cast("string") if name else F.lit(None).cast("string")).alias("file_name"),
-        T.strip(F.col(text)).alias("text"), (F.col("type") if "type" in df.columns else F.lit(kind)).alias("type"), F.col(image).alias("image"),
+        T.strip(F.col(text)).alias("text"), (F.col("type") if "type" in df.columns else F.lit(kind)).alias("type"), image_value(df, image).alias("image"),
     )
 
 
+def image_value(df: DataFrame, image: str) -> Column:
+    """An image column of whatever kind (bytes, a path, or a struct of either) as STRUCT<bytes, path>; null where it has neither."""
+    kind, c = df.schema[image].dataType, F.col(image)
+    names = kind.names if isinstance(kind, StructType) else []
+    if isinstance(kind, StructType):
+        raw, path = (c[n] if n in names else F.lit(None) for n in ("bytes", "path"))
+    else:
+        raw, path = (c, F.lit(None)) if isinstance(kind, BinaryType) else (F.lit(None), c)
+    return F.when(raw.isNotNull() | path.isNotNull(), F.struct(raw.cast("binary").alias("bytes"), path.cast("string").alias("path")))
+
+
 def image_name(name: Column, position: Column) -> Column:
     """Given name, or the position padded with zeros to eight digits at least, with ``.png`` at the end."""
     digits = position.cast("string")

@@ -169,6 +169,30 @@ def test_dataset_commands(spark, tmp_path):
     assert "| text | string | transcription |" in writers.card(df, "x", "y")
 
 
+def test_datasets_by_folder(spark, tmp_path):
+    import pytest
+
+    d = tmp_path / "my-set"
+    d.mkdir()
+    df = spark.createDataFrame([(f"im/{i}.png", f"teksti {i}" if i % 4 else " ", f"im/{i}.png") for i in range(20)], "file_name string, text string, image string")
+    df.write.parquet(str(d / "train.parquet"))
+    df.limit(5).write.parquet(str(d / "test-00000-of-00001.parquet"))
+    jobs.ingest_dataset(spark, str(d), str(tmp_path / "out"), "s")
+    assert spark.read.text(str(tmp_path / "out/train.jsonl")).count() == 15 and (tmp_path / "out/test.jsonl").exists()
+    (tmp_path / "im").mkdir()
+    for i in range(0, 20, 2):
+        (tmp_path / "im" / f"{i}.png").write_bytes(b"x")
+    missing = jobs.ingest_flat(spark, str(d / "train.parquet"), str(tmp_path / "im"), str(tmp_path / "flat.parquet"))
+    assert {r.name for r in missing.collect()} == {f"{i}.png" for i in range(1, 20, 2)}
+    assert sorted(r.text for r in spark.read.parquet(str(tmp_path / "flat.parquet")).where("image.bytes is not null").collect()) == sorted(f"teksti {i}" for i in range(2, 20, 4))
+    jobs.dataset_card(spark, str(d), str(tmp_path / "README.md"), description="Rivejä.")
+    assert "# MY_SET" in (tmp_path / "README.md").read_text() and jobs.standard(spark, str(d)).count() == 20
+    with pytest.raises(FileNotFoundError):
+        jobs.standard(spark, str(tmp_path))
+    jobs.main(["mixture", str(tmp_path / "out/train.jsonl"), str(tmp_path / "out/test.jsonl"), "--mode", "equal"])
+    jobs.main(["sample", str(tmp_path / "out/train.parquet"), "--n", "3"])
+
+
 def test_line_order_over_splits(spark, tmp_path):
     """Lines keep their order however Spark packs the pieces of a file."""
     from corpusforge.sources import readers
