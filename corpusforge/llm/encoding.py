@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, StringType
 
 from corpusforge.llm.chars import CYRILLIC_CODECS, CYRILLIC_LETTERS, LATIN_LETTERS, LOOK_ALIKES, OTHER_FORMS, TRANSFORMS, TYPOGRAPHY, skeleton, undo
-from corpusforge.runtime import cut
+from corpusforge.runtime import cut, small
 
 #: Distinct words that must support a mapping, or a line of one, before it is applied.
 SUPPORT = 3
@@ -296,10 +296,16 @@ def found_by_records(records: DataFrame, id_col: str = "rec_id", text: str = "te
     A record with foreign characters is joined with a clean one that is the same without its non-ASCII characters;
     what their alignment teaches is applied to every record. Of clean records with one skeleton one stands for all.
     """
-    texts = records.where(F.col(text).rlike(rf"[^\x00-\x7F]|{_BESIDE}")).select(F.col(text).alias("token")).distinct()
-    texts = texts.withColumns({"skel": _skeletons("token"), "odd": F.col("token").rlike(_OUTSIDE)}).where(F.length("skel") >= LEAST_SKELETON)
-    clean = texts.where("not odd").groupBy("skel").agg(F.min("token").alias("clean"))
-    mappings = inferred(run_counts(texts.where("odd").join(clean, "skel")), {})
+    skel = F.lower(F.regexp_replace(text, "[^0-9A-Za-z]", ""))
+    texts = records.where(F.col(text).rlike(rf"[^\x00-\x7F]|{_BESIDE}")).select(F.col(text).alias("token"), F.when(F.length(skel) >= LEAST_SKELETON, F.xxhash64(skel)).alias("key"), F.col(text).rlike(_OUTSIDE).alias("odd"))
+    texts = texts.where("key is not null")
+    # whole twins are rare: the keys are joined first, and texts are fetched for those alone that both sides have
+    keys = cut(texts.groupBy("key").agg(F.max("odd").alias("odd"), F.min("odd").alias("all_odd")).where("odd and not all_odd").select("key"))
+    some = texts.join(small(keys), "key", "left_semi")
+    clean = some.where("not odd").groupBy("key").agg(F.min("token").alias("clean"))
+    mappings = inferred(run_counts(some.where("odd").join(clean, "key").withColumn("skel", F.col("key").cast("string"))), {})
+    if not mappings:
+        return records.select(id_col, F.lit(0).cast("bigint").alias("words")).limit(0)
     suspects = records.where(F.col(text).rlike(_OUTSIDE)).select(id_col, F.explode(F.array_distinct(words(F.col(text), _OUTSIDE))).alias("token"))
     tokens = suspects.where(~_alike() & ~F.col("token").rlike("^[А-Яа-яЁё]+$")).select("token", F.lit(1).cast("bigint").alias("n")).distinct()
     made = tokens.mapInPandas(_forms(mappings), "token string, n bigint, k int, form string").where(_fits("token", "form")).select("token").distinct()
