@@ -45,6 +45,8 @@ _LOST = r"\x{FFFD}|\?(?=\p{L})"
 _NATIONAL = r"[@\[\]\\^`{|}~]"
 _BESIDE = rf"[A-Za-z]{_NATIONAL}|{_NATIONAL}[A-Za-z]"
 _FOREIGN = rf"[^\x00-\x7F{LATIN_LETTERS}{TYPOGRAPHY}]"
+#: One class that every odd or lost character falls in; what has none needs no look at the patterns.
+_SPECIAL = r"[^\x00->A-Z_a-z]"
 _OUTSIDE = rf"{_FOREIGN}|{_BESIDE}|{_LOST}"
 #: Words whose odd characters are look-alikes and other forms of ordinary ones only.
 _OTHERWISE = "^[" + "".join(LOOK_ALIKES) + OTHER_FORMS + r"\x00-\x7F" + LATIN_LETTERS + TYPOGRAPHY + "]*$"
@@ -80,7 +82,7 @@ def words(text: Column, pattern: str) -> Column:
         ascii_ = F.regexp_replace(F.regexp_replace(w, _ASCII_EDGE, ""), _BRACKETS, "$1$2$3")
         return F.when(w.rlike(r"[^\x00-\x7F]"), F.regexp_replace(w, _EDGE, "")).otherwise(ascii_)
 
-    cores = F.transform(F.filter(F.split(text, r"[ \t\n\r]+"), lambda w: w.rlike(pattern)), core)
+    cores = F.transform(F.filter(F.split(text, r"[ \t\n\r]+"), lambda w: w.rlike(_SPECIAL) & w.rlike(pattern)), core)
     return F.filter(cores, lambda w: w.rlike(pattern))
 
 
@@ -286,8 +288,10 @@ def restored(records: DataFrame) -> DataFrame:
     fixes = garbled_records(records, extra=["text"]).groupBy("rec_id", "text").agg(
         F.array_sort(F.collect_list(F.when(F.col("form").isNotNull(), F.struct((-F.length("token")).alias("k"), "token", "form")))).alias("fix"),
         F.count("*").alias("words"), F.count_if(F.col("form").isNull()).alias("lost"),
-    )  # a record's own words; longest first, so that no word is changed inside another
-    return fixes.select("rec_id", F.aggregate("fix", F.col("text"), lambda t, f: F.replace(t, f["token"], f["form"])).alias("text"), "words", "lost")
+    )  # a record's own words; longest first, and none inside another word
+    escaped = lambda x: F.regexp_replace(x, r"([^\p{L}\p{N}])", r"\\$1")
+    whole = lambda x: F.concat(F.lit(r"(?<![\p{L}\p{N}])"), escaped(x), F.lit(r"(?![\p{L}\p{N}])"))
+    return fixes.select("rec_id", F.aggregate("fix", F.col("text"), lambda t, f: F.regexp_replace(t, whole(f["token"]), escaped(f["form"]))).alias("text"), "words", "lost")
 
 
 def found_by_records(records: DataFrame, id_col: str = "rec_id", text: str = "text") -> DataFrame:

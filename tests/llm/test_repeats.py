@@ -36,6 +36,8 @@ def test_a_change_no_encoding_table_knows_is_learned(spark):
     assert {r.rec_id for r in encoding.found(df).collect()} == set(bad)
     back = str.maketrans("{|}[\\]", "äöåÄÖÅ")
     assert {r.rec_id: r.text for r in encoding.restored(df).collect()} == {k: t.translate(back) for k, t in bad.items()}
+    more = df.unionByName(spark.createDataFrame([(950, "y|ll{ ja xy|ll{, (n{m{). {y|ll{}")], df.schema))
+    assert [r.text for r in encoding.restored(more).where("rec_id = 950").collect()] == ["yöllä ja xy|ll{, (nämä). {yöllä}"]
 
 
 def test_mappings_are_inferred_from_runs():
