@@ -20,3 +20,12 @@ def query(operators: str, sql: str | None = None):
         return f
 
     return add
+
+
+def covered() -> dict[str, list[str]]:
+    """The queries that show each operator."""
+    out: dict[str, list[str]] = {}
+    for name, ids in OPERATORS.items():
+        for i in ids.split():
+            out.setdefault(i, []).append(name)
+    return dict(sorted(out.items()))

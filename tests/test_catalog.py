@@ -21,7 +21,10 @@ def con():
 
 
 def test_registry():
+    from corpusforge import catalog
+
     assert len(NAMES) > 80 and set(entry.oracle_sql()) <= set(entry.queries())
+    assert len(catalog.covered()) > 110 and all(set(v) <= set(catalog.QUERIES) for v in catalog.covered().values())
 
 
 def test_entry(spark):
