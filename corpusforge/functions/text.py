@@ -134,6 +134,11 @@ def rendered(messages: Column) -> Column:
     return F.array_join(F.transform(messages, one), "")
 
 
+def image_tokens(frames: Column, height: Column, width: Column, merge: int = 2) -> Column:
+    """Tokens of an image whose patches form such a grid, ``merge`` by ``merge`` of them to a token."""
+    return F.floor(frames * height * width / (merge * merge)).cast("int")
+
+
 def expanded(text: Column, tokens: Column, placeholder: str = "<image>", begin: str = "<|begin|>", token: str = "<|tok|>", end: str = "<|end|>") -> Column:
     """Each placeholder replaced by ``tokens`` image tokens between begin and end marks."""
     return F.replace(text, F.lit(placeholder), F.concat(F.lit(begin), F.repeat(F.lit(token), tokens), F.lit(end)))

@@ -313,3 +313,22 @@ def test_every_block_counts_in_bands(spark):
     assert {r.page_id for r in L.bands(df.drop("band")).collect()} == {1}
     b = L.band_lines(df.drop("band")).collect()
     assert all(len(r.own) >= 2 and len(r.lines) == 30 for r in b) and [r.band for r in b] == list(range(1, len(b) + 1))
+
+
+def test_a_recogniser_as_a_row_function(spark):
+    from corpusforge.operators import inference
+
+    def load():
+        def recognise(data):
+            if data == b"bad":
+                raise ValueError("unreadable")
+            return data.decode().upper()
+
+        return recognise
+
+    df = spark.createDataFrame([(1, (bytearray(b"kala"), None)), (2, (bytearray(b"bad"), None)), (3, (None, "x.png")), (4, None)], "rec_id bigint, image struct<bytes:binary,path:string>")
+    got = {r.rec_id: (r.answer, r.error) for r in inference.answered(df, load, "rec_id").collect()}
+    assert got == {1: ("KALA", None), 2: (None, "ValueError: unreadable"), 3: (None, "no image"), 4: (None, "no image")}
+    assert inference.answered(df.limit(0), load, "rec_id").count() == 0
+    t = spark.range(1).select(T.expanded(F.lit("a<image>b"), T.image_tokens(F.lit(1), F.lit(4), F.lit(6)), token="t").alias("x"), T.image_tokens(F.lit(2), F.lit(3), F.lit(3)).alias("n")).first()
+    assert t.x == "a<|begin|>tttttt<|end|>b" and t.n == 4
