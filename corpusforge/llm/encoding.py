@@ -266,7 +266,8 @@ def garbled_records(records: DataFrame, id_col: str = "rec_id", text: str = "tex
     """(id, token, form) of every garbled word of every record, or of the records ``of``; what is learned comes from all."""
     bad, likely = garbled_words(records, text)
     bad = cut(bad)
-    suspects = (records if of is None else of).where(F.col(text).rlike(_OUTSIDE)).select(id_col, *(extra or []), F.col(text).alias("__t"), F.explode(F.array_distinct(words(F.col(text), _OUTSIDE))).alias("token"))
+    suspects = (records if of is None else of).where(F.col(text).rlike(_OUTSIDE)).select(id_col, *(extra or []), F.xxhash64(text).alias("__t"), F.explode(F.array_distinct(words(F.col(text), _OUTSIDE))).alias("token"))
+    suspects = suspects if extra else cut(suspects)  # narrow, and used twice
     out = suspects.join(bad, "token").select("token", id_col, *(extra or []), "form")
     if likely is None:
         return out
