@@ -6,7 +6,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType
+from pyspark.sql.types import DoubleType
 
 #: White space of every kind, in a class that Java's and RE2's regular expressions share.
 WS = r"[\t-\r\x1C-\x1F\x{85}\p{Z}]"
@@ -68,16 +68,16 @@ def edit_distance(a: list, b: list) -> int:
     return int(row[-1])
 
 
-@F.pandas_udf(IntegerType())
-def word_distance(pairs: pd.DataFrame) -> pd.Series:
-    """Edit distance of the word lists ``a`` and ``b`` of a struct, of any length."""
-    return pd.Series([None if p is None or q is None else edit_distance(list(p), list(q)) for p, q in zip(pairs["a"], pairs["b"])], dtype="Int32")
+@F.pandas_udf(DoubleType())
+def word_error_rate(pairs: pd.DataFrame) -> pd.Series:
+    """Edit distance of the word lists ``a`` and ``b`` of a struct, of any length, over the size of ``b``; an empty ``b`` gives 0 or 1."""
+    rate = lambda p, q: edit_distance(list(p), list(q)) / len(q) if len(q) else float(len(p) > 0)
+    return pd.Series([None if p is None or q is None else rate(p, q) for p, q in zip(pairs["a"], pairs["b"])], dtype="float64")
 
 
 def wer(pred: Column, ref: Column) -> Column:
     """Edit distance in words over the reference's words; an empty reference gives 0 or 1."""
-    a, b = words(pred), words(ref)
-    return error_rate(word_distance(F.struct(a.alias("a"), b.alias("b"))), F.size(a), F.size(b))
+    return word_error_rate(F.struct(words(pred).alias("a"), words(ref).alias("b")))
 
 
 def unit_hash(x: Column) -> Column:

@@ -28,17 +28,17 @@ def pairs(df: DataFrame, default_source: str = "unknown") -> DataFrame:
 def scored(df: DataFrame, metrics: tuple[str, ...] = ("ned", "cer", "wer")) -> DataFrame:
     """Pairs with their scores, each computed once; ``exact`` compares the stripped texts."""
     p, r = F.col("pred"), F.col("ref")
-    d = df.select("*", F.explode(F.array(F.when(p == r, 0).otherwise(F.levenshtein(p, r)))).alias("__d"))  # the quadratic part, once a row
+    by_char = {"ned", "cer"} & set(metrics)
+    d = df.select("*", F.explode(F.array(F.when(p == r, 0).otherwise(F.levenshtein(p, r)))).alias("__d")) if by_char else df  # the quadratic part, once a row
     longest = F.nullif(F.greatest(F.length(p), F.length(r)), F.lit(0))
     rate = F.when(F.length(r) == 0, F.when(F.length(p) == 0, 0.0).otherwise(1.0)).otherwise(F.col("__d") / F.length(r))
     made = {"ned": F.coalesce(F.col("__d") / longest, F.lit(0.0)), "cer": rate}
-    d = d.withColumns({m: made[m] for m in metrics if m in made} | {"exact": (T.strip(p) == T.strip(r)).cast("int")}).drop("__d")
+    d = d.withColumns({m: made[m] for m in made if m in by_char} | {"exact": (T.strip(p) == T.strip(r)).cast("int")}).drop("__d")
     if "wer" not in metrics:
         return d
     # equal texts have no distance; only the others are sent to Python
     differ = F.when(p != r, F.struct(T.words(p).alias("a"), T.words(r).alias("b")))
-    d = d.select("*", F.size(T.words(p)).alias("__a"), F.size(T.words(r)).alias("__b"), T.word_distance(differ).alias("__w"))
-    return d.withColumn("wer", T.error_rate(F.coalesce("__w", F.lit(0)), F.col("__a"), F.col("__b"))).drop("__a", "__b", "__w")
+    return d.select("*", F.explode(F.array(F.coalesce(T.word_error_rate(differ), F.lit(0.0)))).alias("wer"))
 
 
 def summary(s: DataFrame, metric: str, by: list[str] | None = None) -> DataFrame:
