@@ -2,10 +2,16 @@
 
 from __future__ import annotations
 
+import hashlib
+from functools import cache
+from itertools import groupby
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusforge.functions.text import let
+from corpusforge.functions.draws import Draws
 
 # Diacritics and their plain letters; recognition confusions in order.
 PLAIN_FROM, PLAIN_TO = "åäöéüšžÅÄÖÉÜŠŽ", "aaoeuszAAOEUSZ"
@@ -75,15 +81,166 @@ def digit_swap(x: Column, seed: Column, p: Column) -> Column:
     return _per_char(x, lambda c, i: F.when(c.rlike("^[0-9]$") & (chance(seed, F.lit("g"), i) < p), digit(i)).otherwise(c))
 
 
-def _step(f, seed: Column):
-    return lambda s: f(s["x"], seed, s["p"])
+#: Letters worked on at a time; a longer text is worked on alone.
+LETTERS = 1_000_000
+# Code points up to here have case; cases newer than Python's tables, that Spark's have.
+CASED = 1 << 17
+NEW_CASES = [(0x19B, 0xA7DC), (0x264, 0xA7CB), (0x1C8A, 0x1C89), (0xA7CD, 0xA7CC), (0xA7DB, 0xA7DA), *((0x10D70 + k, 0x10D50 + k) for k in range(22))]
+
+
+@cache
+def _cases() -> tuple[np.ndarray, dict[int, list[int]]]:
+    """The other case of each code point, itself where it has none; those whose other case is several letters apart."""
+    one, several = np.arange(CASED + 1, dtype=np.uint32), {}
+    for i in range(CASED):
+        c = chr(i)
+        x = c.lower() if c == c.upper() else c.upper()
+        if len(x) == 1:
+            one[i] = ord(x)
+        else:
+            one[i], several[i] = CASED, [ord(y) for y in x]
+    for low, up in NEW_CASES:
+        one[low], one[up] = up, low
+    return one, several
+
+
+def _codes(texts: list[str]) -> np.ndarray:
+    return np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), np.uint32)
+
+
+def _texts(codes: np.ndarray, n: np.ndarray) -> list[str]:
+    x, ends = codes.tobytes().decode("utf-32-le", "surrogatepass"), np.cumsum(n).tolist()
+    return [x[a:b] for a, b in zip([0, *ends], ends)]
+
+
+def _least(p: np.ndarray) -> np.ndarray:
+    """The 32 bits of a chance are under this where the chance is under ``p``."""
+    return np.ceil(p * 2.0**32).astype(np.uint32)
+
+
+class _Batch:
+    """Texts as code points, one after another, with the length of each; the steps of ``corrupted`` on all of them."""
+
+    def __init__(self, texts: list[str], seeds: list[bytes]):
+        self.seeds, self.draws = seeds, Draws(seeds)
+        self.put(_codes(texts).copy(), np.array([len(t) for t in texts]))
+
+    def put(self, codes: np.ndarray, n: np.ndarray) -> None:
+        self.codes, self.n = codes, n
+        self.at = np.arange(len(codes), dtype=np.int32) - np.repeat((np.cumsum(n) - n).astype(np.int32), n)
+
+    def within(self, where: np.ndarray) -> np.ndarray:
+        """How many of the ascending places each text has."""
+        return np.diff(np.searchsorted(where, np.cumsum(self.n)), prepend=0)
+
+    def grown(self, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Each letter as often as counted, put in place of the letters; where each begins."""
+        ends = np.cumsum(counts)
+        upto = np.concatenate([[0], ends])[np.cumsum(self.n)]
+        codes = np.repeat(self.codes, counts)
+        self.put(codes, np.diff(upto, prepend=0))
+        return codes, ends - counts
+
+    def few(self, what: bytes, n: int) -> np.ndarray:
+        """The chances of n positions of each seed, as 32 bits."""
+        k = len(self.seeds)
+        return self.draws(what, np.full(k, n), np.tile(np.arange(n), k)).reshape(k, n)
+
+    def some(self, what: bytes, where: np.ndarray, p: np.ndarray) -> np.ndarray:
+        """Of these places, those whose chance is under the text's p."""
+        n = self.within(where)
+        return where[self.draws(what, n, self.at[where]) < np.repeat(_least(p), n)]
+
+    def numbers(self, what: bytes, where: np.ndarray, n: int) -> np.ndarray:
+        """A number under n for each of these places."""
+        return np.floor(self.draws(what, self.within(where), self.at[where]) / 2.0**32 * n).astype(np.int64)
+
+    def diacritics(self, p: np.ndarray) -> None:
+        plain = np.arange(385, dtype=np.uint32)
+        plain[[ord(c) for c in PLAIN_FROM]] = [ord(c) for c in PLAIN_TO]
+        code = np.minimum(self.codes, 384)
+        hit = self.some(b"d|", np.flatnonzero(plain[code] != code), p)
+        self.codes[hit] = plain[code[hit]]
+
+    def confusions(self, p: np.ndarray) -> None:
+        texts = _texts(self.codes, self.n)
+        hits = np.argwhere(self.few(b"o|", len(CONFUSIONS)) < _least(p)[:, None]).tolist()
+        for row, group in groupby(hits, lambda h: h[0]):
+            ks, t, done = [k for _, k in group], texts[row], 0
+            if len(ks) > 1:
+                ks.sort(key=lambda k: (hashlib.md5(self.seeds[row] + b"s|%d" % k).digest(), k))
+            for a, b in (CONFUSIONS[k] for k in ks):
+                if done < MOST_CONFUSIONS and a in t:
+                    t, done = t.replace(a, b, 1), done + 1
+            texts[row] = t
+        self.put(_codes(texts).copy(), np.array([len(t) for t in texts]))
+
+    def noise(self, p: np.ndarray) -> None:
+        letters, blank = _codes([NOISE]), (np.cumsum(self.n) - self.n)[self.n == 0]
+        if len(blank):  # an empty text has one empty letter
+            self.put(np.insert(self.codes, blank, 0), np.maximum(self.n, 1))
+            blank += np.arange(len(blank))
+        u = self.draws(b"n|", self.n, self.at)
+        hit = np.flatnonzero(u < np.repeat(_least(p), self.n))
+        u, row = u[hit], np.repeat(np.arange(len(self.n)), self.within(hit))
+        put, change = u < _least(p * 0.55)[row], u < _least(p * 0.4)[row]
+        letter = letters[self.numbers(b"l|", hit[put], len(NOISE))]
+        counts = np.ones(len(self.codes), np.int64)
+        counts[hit] = np.where(change, 1, np.where(put, 2, 0))
+        counts[blank] = np.isin(blank, hit[put])
+        codes, start = self.grown(counts)
+        codes[start[hit[put]]] = letter
+
+    def case(self, p: np.ndarray) -> None:
+        other, several = _cases()
+        code = np.minimum(self.codes, CASED)
+        hit = self.some(b"c|", np.flatnonzero(other[code] != code), p)
+        old, new = self.codes[hit], other[code[hit]]
+        self.codes[hit] = new
+        if len(many := np.flatnonzero(new == CASED)):
+            counts = np.ones(len(self.codes), np.int64)
+            counts[hit[many]] = [len(several[c]) for c in old[many].tolist()]
+            codes, start = self.grown(counts)
+            for i, c in zip(start[hit[many]].tolist(), old[many].tolist()):
+                codes[i : i + len(several[c])] = several[c]
+
+    def digits(self, p: np.ndarray) -> None:
+        hit = self.some(b"g|", np.flatnonzero((self.codes >= 48) & (self.codes <= 57)), p)
+        self.codes[hit] = 48 + self.numbers(b"w|", hit, 10)
+
+    def corrupted(self, rates: list[tuple[float, float]]) -> list[str]:
+        r = self.few(b"r|", len(rates)) / 2.0**32
+        for k, (step, (lo, hi)) in enumerate(zip((self.diacritics, self.confusions, self.noise, self.case, self.digits), rates)):
+            step(lo + (hi - lo) * r[:, k])
+        return _texts(self.codes, self.n)
+
+
+def _corrupt(texts: list[bytes | None], seeds: list[bytes], rates: list[tuple[float, float]]) -> list[bytes | None]:
+    """``corrupted`` on lists: texts with seeds of one length at a time, of so many letters."""
+    out: list = [None] * len(texts)
+    plain = {i: t.decode("utf-8", "surrogateescape") for i, t in enumerate(texts) if t is not None}
+    for _, group in groupby(sorted(plain, key=lambda i: len(seeds[i])), lambda i: len(seeds[i])):
+        part, size = [], 0
+        for i in [*group, None]:
+            if part and (i is None or size + len(plain[i]) > LETTERS):
+                for j, x in zip(part, _Batch([plain[j] for j in part], [seeds[j] for j in part]).corrupted(rates)):
+                    out[j] = x.encode("utf-8", "surrogateescape")
+                part, size = [], 0
+            if i is not None:
+                part.append(i)
+                size += len(plain[i])
+    return out
 
 
 def corrupted(x: Column, seed: Column, intensity: str = "medium") -> Column:
-    """All five in order, each at a rate drawn from its range."""
-    for k, (f, (lo, hi)) in enumerate(zip((diacritic_swap, confuse, char_noise, case_noise, digit_swap), RATES[intensity])):
-        x = let(F.struct(x.alias("x"), (lo + (hi - lo) * chance(seed, F.lit("r"), F.lit(k))).alias("p")), _step(f, seed))
-    return x
+    """All five in order, each at a rate drawn from its range; the draws of a batch are made together."""
+    rates = RATES[intensity]
+
+    @F.pandas_udf("binary")
+    def run(texts: pd.Series, seeds: pd.Series) -> pd.Series:
+        return pd.Series(_corrupt(texts.tolist(), seeds.tolist(), rates), dtype=object)
+
+    return run(x.cast("binary"), F.coalesce(F.concat(seed, F.lit("|")), F.lit("")).cast("binary")).cast("string")
 
 
 def variants(df: DataFrame, label: str, key: str, n: int, intensity: str = "light") -> DataFrame:
